@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import chat_format, packing, quality_rules, secrets, sketch, toxicity, warc_writer
+from lectern.llm import chat_format, mixing, ngram_join, packing, quality_rules, secrets, sketch, topk_nra, toxicity, warc_writer
 from lectern.llm.common import fold, read_table, scratch
 
 
@@ -63,6 +63,44 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "tokens", "ratio", "probability", "kept")
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
+x AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+r AS (SELECT doc_id AS d, doc_id AS c FROM s UNION SELECT r.d, e.b FROM r JOIN e ON r.c = e.a)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, m.c AS component_id FROM s JOIN (SELECT d, min(c) AS c FROM r GROUP BY d) m ON m.d = s.doc_id
+"""
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_nra.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
@@ -70,5 +108,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_warc, op3_sketch, op4_quality, op5_secrets, op6_packing, op10_toxicity)}
-ORACLE_SQL = {"op1_chat_format": OP1_SQL}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_warc, op3_sketch, op4_quality, op5_secrets, op6_packing, op7_mixing, op8_ngram_join, op9_topk, op10_toxicity)}
+ORACLE_SQL = {"op1_chat_format": OP1_SQL, "op8_ngram_join": OP8_SQL, "op9_topk": OP9_SQL}

@@ -27,8 +27,14 @@ THRESHOLD = 0.3
 _EDGES = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 
 
-def grams(vocabulary: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+def grams(vocabulary: list[str], buckets: int = BUCKETS, at_once: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and bucket ids of each word's features: n-grams of <word> and, last, the word itself."""
+    parts = [_grams(vocabulary[at : at + at_once], buckets) for at in range(0, len(vocabulary), at_once)]
+    sizes = np.concatenate([np.zeros(1, np.int64), *(n for n, _ in parts)])
+    return np.cumsum(sizes), np.concatenate([np.zeros(0, np.int32), *(ids for _, ids in parts)])
+
+
+def _grams(vocabulary: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     marked = [f"<{w.strip(_EDGES) or w}>" for w in vocabulary]
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
     points = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -49,8 +55,8 @@ def grams(vocabulary: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np
     hashes.append(whole + np.uint64(7))
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    ids = (common.mix(np.concatenate(hashes)) % np.uint64(buckets)).astype(np.int64)[order]
-    return np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(marked)))]), ids
+    ids = (common.mix(np.concatenate(hashes)) % np.uint64(buckets)).astype(np.int32)[order]
+    return np.bincount(owner, minlength=len(marked)), ids
 
 
 def _distinct_runs(offsets: np.ndarray, codes: np.ndarray, vocabulary: pa.Array) -> tuple:
@@ -164,15 +170,14 @@ def train(texts: list[str | None], toxic: np.ndarray, prior: float | None = None
         return np.concatenate([ids[bounds[c] : bounds[c + 1]] for c in codes[base[w] + first[w] : base[w] + end[w]]])
 
     # first choice of windows: n-grams by the log odds of documents that hold them
-    sizes = np.diff(bounds)
-    doc_word = np.unique(np.repeat(np.arange(len(texts)), counts) * len(sizes) + codes)
-    doc, code = np.divmod(doc_word, len(sizes))
-    place = np.repeat(bounds[code] - (np.cumsum(sizes[code]) - sizes[code]), sizes[code]) + np.arange(sizes[code].sum())
-    pairs = np.unique(np.repeat(doc, sizes[code]) * BUCKETS + ids[place])
-    holds = np.stack([np.bincount(pairs[toxic[pairs // BUCKETS] == y] % BUCKETS, minlength=BUCKETS) for y in (0, 1)])
+    holds = np.zeros((2, BUCKETS))
+    for i in range(len(texts)):
+        own = np.unique(codes[offsets[i] : offsets[i + 1]])
+        if len(own):
+            holds[toxic[i], np.unique(np.concatenate([ids[bounds[c] : bounds[c + 1]] for c in own]))] += 1
     odds = np.log((holds[1] + 0.5) / (toxic.sum() + 1)) - np.log((holds[0] + 0.5) / ((1 - toxic).sum() + 1))
     odds = np.where(holds.sum(0) >= 3, np.maximum(odds, 0), 0) ** 2
-    word = np.add.reduceat(odds[ids], bounds[:-1]) / sizes
+    word = np.add.reduceat(odds[ids], bounds[:-1]) / np.diff(bounds)
     state = (rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)), rng.normal(0, 0.5, (2, DIMENSIONS)), np.zeros(2), np.zeros(BUCKETS), np.zeros((2, DIMENSIONS)))
     logits = np.zeros(0)
     for turn in range(rounds):
