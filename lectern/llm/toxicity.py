@@ -24,6 +24,8 @@ DIMENSIONS = 8
 WINDOW, STRIDE = 24, 12
 GRAMS = (3, 4, 5)
 THRESHOLD = 0.3
+STEPS = 300  # of 64 windows, in each round at least
+RATE, FLOOR = 0.5, 1e-3
 _EDGES = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 
 
@@ -121,31 +123,30 @@ class Model:
         return run(text)
 
 
-def _train(bags: list[np.ndarray], y: np.ndarray, weight: np.ndarray, start, epochs: int, rng) -> tuple:
-    """Joint training of bucket vectors and softmax by Adagrad. bags: bucket ids, one array a window and equal weights within."""
+def _train(bags: list[np.ndarray], y: np.ndarray, weight: np.ndarray, start, steps: int, rng) -> tuple:
+    """Joint training of bucket vectors and softmax by Adagrad. bags: a window's bucket ids, of equal weight. Gradient sums start at a floor, so that a bucket seen once or twice moves little."""
     E, W, b, gE, gW = start
     sizes = np.fromiter(map(len, bags), np.int64, len(bags))
-    for _ in range(epochs):
+    for _ in range(max(6, -(-steps * 64 // len(bags)))):
         order = rng.permutation(len(bags))
         for at in range(0, len(bags), 64):
             pick = order[at : at + 64]
             ids = np.concatenate([bags[i] for i in pick])
             n = sizes[pick]
-            starts = np.cumsum(n) - n
-            h = np.add.reduceat(E[ids], starts, axis=0) / n[:, None]
+            h = np.add.reduceat(E[ids], np.cumsum(n) - n, axis=0) / n[:, None]
             z = h @ W.T + b
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             p[np.arange(len(pick)), y[pick]] -= 1
             d = p * weight[pick][:, None]
-            used, back = np.unique(ids, return_inverse=True)
             dh = (d @ W) / n[:, None]
+            used, back = np.unique(ids, return_inverse=True)
             grad = np.stack([np.bincount(back, np.repeat(dh[:, j], n), len(used)) for j in range(E.shape[1])], 1)
             gE[used] += (grad**2).sum(1)
-            E[used] -= 0.5 * grad / np.sqrt(gE[used] + 1e-8)[:, None]
+            E[used] -= RATE * grad / np.sqrt(gE[used])[:, None]
             dW = d.T @ h
             gW += dW**2
-            W -= 0.5 * dW / np.sqrt(gW + 1e-8)
+            W -= RATE * dW / np.sqrt(gW)
             b -= 0.05 * d.sum(0)
     return E, W, b, gE, gW
 
@@ -176,9 +177,9 @@ def train(texts: list[str | None], toxic: np.ndarray, prior: float | None = None
         if len(own):
             holds[toxic[i], np.unique(np.concatenate([ids[bounds[c] : bounds[c + 1]] for c in own]))] += 1
     odds = np.log((holds[1] + 0.5) / (toxic.sum() + 1)) - np.log((holds[0] + 0.5) / ((1 - toxic).sum() + 1))
-    odds = np.where(holds.sum(0) >= 3, np.maximum(odds, 0), 0) ** 2
+    odds = np.maximum(0, odds - 2 * np.sqrt(1 / (holds[1] + 0.5) + 1 / (holds[0] + 0.5)))  # what is sure of them
     word = np.add.reduceat(odds[ids], bounds[:-1]) / np.diff(bounds)
-    state = (rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)), rng.normal(0, 0.5, (2, DIMENSIONS)), np.zeros(2), np.zeros(BUCKETS), np.zeros((2, DIMENSIONS)))
+    state = (rng.normal(0, 0.01, (BUCKETS, DIMENSIONS)), rng.normal(0, 0.5, (2, DIMENSIONS)), np.zeros(2), np.full(BUCKETS, FLOOR), np.full((2, DIMENSIONS), 1e-4))
     logits = np.zeros(0)
     for turn in range(rounds):
         total = np.concatenate([[0.0], np.cumsum(word[codes])])
@@ -196,7 +197,7 @@ def train(texts: list[str | None], toxic: np.ndarray, prior: float | None = None
                     y.append(0)
         y = np.array(y)
         weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
-        state = _train([bag(w) for w in chosen], y, weight, state, 8, rng)
+        state = _train([bag(w) for w in chosen], y, weight, state, STEPS, rng)
         E, W, b = state[:3]
         table = E @ (W[1] - W[0])
         word = np.add.reduceat(table[ids], bounds[:-1]) / np.diff(bounds)
