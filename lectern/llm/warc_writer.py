@@ -143,14 +143,16 @@ def write(pages: DataFrame, path: str, least: int = 0, roll_bytes: int = ROLL_BY
 
 
 def members(data: bytes):
-    """The records of concatenated gzip members."""
-    while data:
-        engine = zlib.decompressobj(31)
-        raw = engine.decompress(data) + engine.flush()
+    """The records of concatenated gzip members. The input is fed in small steps, for what follows a member is copied."""
+    view, at = memoryview(data), 0
+    while at < len(data):
+        engine, raw = zlib.decompressobj(31), []
+        while not engine.eof and at < len(data):
+            raw.append(engine.decompress(view[at : at + 4096]))
+            at += min(4096, len(data) - at) - len(engine.unused_data)
         if not engine.eof:
             raise ValueError("truncated gzip member")
-        data = engine.unused_data
-        yield raw
+        yield b"".join(raw)
 
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
