@@ -1,10 +1,10 @@
 """N-gram Jaccard join: an exact set-similarity join of word shingles by T-occurrence search.
 
-A document's lists are the inverted lists of its shingles. Documents within the threshold share T of them, so a document's L = T - 1 longest lists can be left aside: a partner occurs in one of the short ones (DivideSkip with a merge threshold of T - L = 1). Lists are ranked long or short by counts over all documents: shingles in more than `hot` documents come last, the rest by their hash, one order for all. Short lists are merged by Spark's sort (rows sorted by shingle), long ones are probed by binary search in the candidates' sorted sets, which gives the exact overlap.
+A document's lists are the inverted lists of its shingles. Documents within the threshold share T of them, so a document's L = T - 1 longest lists can be left aside: a partner occurs in one of the short ones (DivideSkip with a merge threshold of T - L = 1). Lists are ranked by counts over all documents: shingles of one document alone come first, then those of up to `hot` documents, then the rest, each by hash, one order for all. Lists of a single member are dropped at once. Short lists are merged by Spark's sort (rows sorted by shingle), long ones are probed by binary search in the candidates' sorted sets, which gives the exact overlap.
 
 Rows of a list aren't paired with each other. Equal sets are one representative. Each list first offers its first member to all others (a star), links found are joined to components, then again with another first member; only what still stands in different components is paired, by size and position within the list. Components need no more links than that, and none between different texts is lost. No cap is set on partners, candidates or list lengths.
 
-What is broadcast are bitmaps of a fixed size at most; a bitmap that fills up costs time, not results.
+What is broadcast are bitmaps of a fixed size at most. They tell shared and hot shingles apart; where more are shared than a bitmap holds, those in the most documents are kept in it and lists of single members stay, which costs time, not results.
 
 Defined results: null or empty texts and texts without words have no shingles and link with nothing; fewer words than the width make one shingle. Rows with the same id belong together, so their component is one; repeated rows give repeated results. Rows with a null id come back with a null component and link with nothing. An empty table gives no rows. Further columns are ignored.
 """
@@ -24,7 +24,7 @@ from lectern.llm.components import components
 WIDTH, PERCENT = 5, 80
 HOT = 32
 KEY_BITS = 24
-MOST_BITS = 26  # of a bitmap: 8 MB
+MOST_BITS = 27  # of a bitmap: 16 MB
 FLUSH_TOKENS = 4_000_000
 
 
@@ -65,8 +65,8 @@ def _broadcast(value):
 # ---- long lists
 
 
-def hot_shingles(docs: DataFrame, total: int, hot: int, width: int) -> tuple[np.ndarray, int]:
-    """A bitmap of the shingles in more than `hot` documents, and the bits of a shingle's hash that make its key.
+def long_lists(docs: DataFrame, total: int, hot: int, width: int) -> tuple[np.ndarray, np.ndarray, int, bool]:
+    """Bitmaps of the shingles in two documents or more and in more than `hot`, the bits of a shingle's hash that make its key, and whether the first bitmap has all.
 
     Tasks count the shingles they read and send, for each range of keys, the sorted keys' gaps (two bytes each where they fit) and the counts above one; a range is summed in one pass over its runs. The number of ranges follows the number of documents.
     """
@@ -106,7 +106,7 @@ def hot_shingles(docs: DataFrame, total: int, hot: int, width: int) -> tuple[np.
         part, counts = None, None
 
         def finish():
-            if counts is not None and (found := np.flatnonzero(counts > hot)).size:
+            if counts is not None and (found := np.flatnonzero(counts > 1)).size:
                 yield pa.RecordBatch.from_arrays([pa.array((int(part) << KEY_BITS) + found, pa.int64()), pa.array(counts[found], pa.int64())], names=["key", "df"])
 
         for batch in batches:
@@ -121,11 +121,12 @@ def hot_shingles(docs: DataFrame, total: int, hot: int, width: int) -> tuple[np.
 
     sent = docs.select("text").mapInArrow(count, "part long, gaps binary, n long, more binary, times binary")
     parts = max(1, min(1 << range_bits, total // 4000))
-    found = stored(sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(total_of, "key long, df long"), "hot")
-    n, most = found.count(), 1 << (MOST_BITS - 4)
-    if n > most:  # only the longest lists, so many as the bitmap tells apart
-        found = found.filter(F.col("df") > found.approxQuantile("df", [1 - most / n], 0.001)[0])
-    return bitmap(found, "key"), bits
+    found = stored(sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(total_of, "key long, df long"), "shared")
+    n, most = found.count(), 1 << (MOST_BITS - 3)
+    shared = found if n <= most else found.filter(F.col("df") > found.approxQuantile("df", [1 - most / n], 0.001)[0])
+    n_hot, most_hot = found.filter(F.col("df") > hot).count(), 1 << (MOST_BITS - 6)
+    least = hot if n_hot <= most_hot else max(hot, found.filter(F.col("df") > hot).approxQuantile("df", [1 - most_hot / n_hot], 0.001)[0])
+    return bitmap(shared, "key", 8), bitmap(found.filter(F.col("df") > least), "key"), bits, n <= most
 
 
 def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,38 +151,45 @@ def spark_hash(values: np.ndarray) -> np.ndarray:
 # ---- documents, lists and pairs
 
 
-def prepared(docs: DataFrame, hot: tuple[np.ndarray, int], width: int, percent: int) -> DataFrame:
-    """Per row: its number of shingles, the digest of its set, and its short lists in the common order."""
-    bits, key_bits = hot
-    size = int(np.log2(len(bits))) + 6
-    shared = _broadcast(bits)
+def prepared(docs: DataFrame, lists: tuple[np.ndarray, np.ndarray, int, bool], width: int, percent: int) -> DataFrame:
+    """Per row: its number of shingles, the digest of its set, its short lists in the common order, and how many lists of single members were left out before these."""
+    key_bits, whole = lists[2:]
+    sizes = [int(np.log2(len(b))) + 6 for b in lists[:2]]
+    shared = [_broadcast(b) for b in lists[:2]]
+
+    def marked(h: np.ndarray, k: int) -> np.ndarray:
+        h = h >> np.uint64(64 - sizes[k])
+        return ((shared[k].value[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63)).astype(np.int64)) & 1).astype(np.int8)
 
     def run(batches):
         from xxhash import xxh3_128_digest
 
         for batch in batches:
             for some in common.slices(batch):
-                sizes, digests, heads = [], [], []
+                counts, digests, heads, skips = [], [], [], []
                 sets = common.shingle_sets(some.column("text"), width)
                 every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                h = spark_hash(every >> np.uint64(64 - key_bits)) >> np.uint64(64 - size)
-                long = ((shared.value[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63)).astype(np.int64)) & 1).astype(bool)
+                h = spark_hash(every >> np.uint64(64 - key_bits))
+                rank = marked(h, 0)
+                rank += rank & marked(h, 1)
                 at = 0
                 for s in sets:
                     n = len(s)
                     many = n - (percent * n + 99) // 100 + 1 if n else 0
-                    last = long[at : at + n]
+                    own = rank[at : at + n]
                     at += n
-                    short = s[~last][:many]
-                    heads.append(np.concatenate([short, s[last][: many - len(short)]]))
-                    sizes.append(n)
+                    alone = s[own == 0][:many]
+                    rest = np.concatenate([s[own == 1], s[own == 2]])[: many - len(alone)]
+                    heads.append(rest if whole else np.concatenate([alone, rest]))
+                    skips.append(len(alone) if whole else 0)
+                    counts.append(n)
                     digests.append(xxh3_128_digest(s.tobytes()))
                 flat = np.concatenate(heads) if heads else np.zeros(0, np.uint64)
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in heads])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists], names=["doc_id", "n", "digest", "head"])
+                head = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), head, pa.array(skips, pa.int32())], names=["doc_id", "n", "digest", "head", "skip"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, digest binary, head array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, digest binary, head array<long>, skip int")
 
 
 def shared_lists(postings: DataFrame) -> DataFrame:
@@ -245,7 +253,7 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     """doc_id, n_shingles and component_id (the smallest id that links reach) of each row."""
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = source.count()
-    rows = stored(prepared(source, hot_shingles(source, total, hot, width), width, percent), "sets")
+    rows = stored(prepared(source, long_lists(source, total, hot, width), width, percent), "sets")
     known = rows.filter("n > 0 and doc_id is not null")
     reps = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     member = stored(known.select("doc_id", "digest").join(reps, "digest").select("doc_id", "digest", "rep"), "members")
@@ -254,13 +262,13 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a <> z")
     links = member.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).filter("a <> b")
     heads = known.join(alone.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest"], "left_semi")
-    postings = heads.select(F.posexplode("head").alias("pos", "token"), F.col("doc_id").alias("rid"), "n")
+    postings = heads.select(F.posexplode("head").alias("at", "token"), F.col("doc_id").alias("rid"), "n", "skip").select("token", "rid", "n", (F.col("at") + F.col("skip")).alias("pos"))
     parts = max(rows.rdd.getNumPartitions(), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     lists = stored(shared_lists(postings.repartition(parts, "token").sortWithinPartitions("token", "rid")), "lists")
     # whole sets, of those in any shared list
     wanted = stored(lists.select("rid").distinct(), "wanted")
-    texts = source.filter(may_hold(F.col("doc_id"), bitmap(wanted, "rid"))).join(wanted.withColumnRenamed("rid", "doc_id"), "doc_id", "left_semi")
-    sets = stored(_sets(texts, width).dropDuplicates(["rid", "digest"]).join(alone.select(F.col("rep").alias("rid"), "digest"), ["rid", "digest"], "left_semi").select("rid", "tokens"), "tokens")
+    texts = source.filter(F.col("doc_id").isNotNull() & may_hold(F.col("doc_id"), bitmap(wanted, "rid")))  # and a few more
+    sets = stored(_sets(texts, width), "tokens")
     sized = lists.join(lists.groupBy("rid").agg(F.max("n").alias("n_first")).withColumnRenamed("rid", "first"), "first")
     stars = sized.filter((F.col("first") != F.col("rid")) & _sized("n", "n_first", percent)).select(F.col("first").alias("a"), F.col("rid").alias("b")).distinct()
     links = stored(links.union(verified(stars, sets, percent)), "links")
@@ -287,13 +295,11 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:
     def run(batches):
-        from xxhash import xxh3_128_digest
-
         for batch in batches:
             for some in common.slices(batch):
                 sets = common.shingle_sets(some.column("text"), width)
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
                 flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array([xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))], names=["rid", "digest", "tokens"])
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))], names=["rid", "tokens"])
 
-    return texts.select("doc_id", "text").mapInArrow(run, "rid long, digest binary, tokens array<long>")
+    return texts.select("doc_id", "text").mapInArrow(run, "rid long, tokens array<long>")
