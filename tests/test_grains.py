@@ -185,3 +185,51 @@ def test_rankings_run(spark):
         assert ranking(c).count() > 0, name
     top = rankings.RANKINGS["most_populist_politicians@v1"](c).orderBy("rank_rate").collect()
     assert [round(r.per_kword, 4) for r in top] == [round(1000 / 600, 4), round(1000 / 600, 4), 0.0]
+
+
+def test_named_queries(spark, sidecars):
+    from lectern.plans import named
+
+    people = spark.createDataFrame([("ion-pop", "Ion Pop", "Ion Pop", ["I. Pop"], None), ("ana-rus", "Ana Rus", "Ana Rus", [], None)], "id string, canonical_name string, diacritic_form string, aliases array<string>, wikidata_qid string")
+    store = named.Store(grains.project(sidecars) | {"persons": people})
+    hits = named.run(store, "search_speeches", {"q": "colegi"})
+    assert [r.record_id for r in hits.hits.collect()] == ["s1"] and hits.total == 1
+    assert [r.record_id for r in named.run(store, "search_speeches", {"is_substantive": False}).hits.collect()] == ["s1", "s2"]
+    children = named.run(store, "list_document_children", {"document_id": "mo://2018/II/7"})
+    assert children.total == 8 and children.hits.first().record_id == "s1"
+    assert named.run(store, "get_document", {"document_id": "mo://2014/II/1R"}).first().title == "Raport"
+    assert named.run(store, "list_documents_by_date", {"date": "2018-03-01"}).hits.count() == 1
+    page = named.run(store, "person_page", {"person_slug": "ion-pop"})
+    assert page.total == 1 and page.aggregations["party"].first().key == "X" and page.aggregations["person"].count() == 1
+    assert [r.id for r in named.run(store, "search_persons", {"q": "pop ion"}).hits.collect()] == ["ion-pop"]
+    assert named.run(store, "search_persons", {"q": " "}).total == 0
+    assert named.run(store, "list_committee_meetings", {"committee_id": "comisia-pentru-sănătate"}).total == 1
+    assert named.run(store, "get_report", {"record_id": "mo://2014/II/1R"}).count() == 1
+    by_party = named.run(store, "agg_speeches_by_party_year").aggregations
+    assert by_party["party_year"].first()["count"] == 1 and by_party["speakers"].first()[0] == 1
+    for name in ("get_agenda_item", "get_speech"):
+        assert named.run(store, name, {"record_id": "none"}).count() == 0
+    with pytest.raises(KeyError):
+        named.run(store, "nope")
+
+
+def test_backfills(spark):
+    from lectern.plans import backfills
+
+    aliases = spark.createDataFrame([("Ministerul Sănătății", "ms", 0), ("Ministerul Educației Naționale", "men", 1), ("Curtea de Conturi", "cc", 2)], "alias string, id string, seq int")
+    raws = ["Ministerul Sănătății", "MINISTERUL SĂNĂTĂȚII", "ministerul sanatatii", "Conturi de Curtea", "Ministerul Sănătății Publice", "Naționale Educației Ministerul", "x"]
+    probe = spark.createDataFrame([(r,) for r in raws], "raw string")
+    got = {r.raw: (r.match, r.via) for r in backfills.ministries(probe, aliases).collect()}
+    assert [got[r] for r in raws] == [("ms", "exact"), ("ms", "case"), ("ms", "diacritic"), ("cc", "token_set"), ("ms", "prefix"), ("men", "token_set"), (None, None)]
+    assert {r.raw: r.match for r in backfills.institutions(probe, aliases).collect()}["Ministerul Sănătății Publice"] is None
+    registry = spark.createDataFrame([("a1", "Ion Pop", [], [(1990, 2000)]), ("a2", "Ion Pop", ["Popică"], [(2004, 2012)]), ("b", "Maria-Elena Tudor", [], [])], "id string, canonical_name string, aliases array<string>, mandates array<struct<`from`:int,`to`:int>>")
+    asked = [("ION POP", 1995), ("Ion Pop", 2008), ("Ion Pop", 2002), ("Popică", None), ("Tudor Maria Elena", 2001), ("Maria Elena Tudoro", 2001), ("Din sală", 2001)]
+    people = spark.createDataFrame(asked, "raw string, year int")
+    got = {(r.raw, r.year): (r.match, r.via) for r in backfills.persons(people, registry).collect()}
+    assert [got[a] for a in asked] == [("a1", "diacritic"), ("a2", "diacritic"), (None, None), ("a2", "diacritic"), ("b", "token_set"), ("b", "fuzzy"), (None, None)]
+    rows = spark.createDataFrame([("x", None), (None, "y"), ("x", "x"), ("x", "y"), (None, None)], "old string, new string")
+    for force, want in ((False, ["kept", "filled", "same", "mismatch", "unmatched"]), (True, ["cleared", "filled", "same", "replaced", "unmatched"])):
+        value, action = backfills.overwritten(F.col("old"), F.col("new"), force)
+        assert [r.a for r in rows.select(action.alias("a"), value.alias("v")).collect()] == want
+    new = backfills.stubs(spark.createDataFrame([("Ion Pop", 2001), ("ION POP", 2003), ("Ion Pop", 2002), ("Ana Rus", 2001)], "n string, y int"), "n", "y", spark.createDataFrame([("ana-rus",)], "id string"))
+    assert sorted(tuple(r) for r in new.collect()) == [("ana-rus-2", "Ana Rus", 1, 2001, 2001), ("ion-pop", "Ion Pop", 3, 2001, 2003)]
