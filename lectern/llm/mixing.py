@@ -54,20 +54,20 @@ def targets_of(cells: DataFrame, marginal: str, given: dict | None, temper: floa
     for value, share in (given or {}).items():
         named = F.when(F.col(marginal).eqNullSafe(F.lit(value)), F.lit(float(share))).otherwise(named)
     shares = sums.select(F.col(marginal).alias("value"), named.alias("named"), F.pow("t", F.lit(temper)).alias("free"))
-    total = shares.agg(F.sum("named").alias("n"), F.sum(F.when(F.col("named").isNull(), F.col("free"))).alias("f"))
-    left = F.greatest(F.lit(0.0), 1 - F.coalesce("n", F.lit(0.0)))
-    share = F.coalesce("named", left * F.col("free") / F.col("f")) / F.when(F.col("f").isNull(), F.col("n")).otherwise(F.coalesce("n", F.lit(0.0)) + left)
-    return shares.crossJoin(F.broadcast(total)).select("value", share.alias("share"))  # one row of totals
+    named_, free = shares.agg(F.coalesce(F.sum("named"), F.lit(0.0)), F.sum(F.when(F.col("named").isNull(), F.col("free")))).first()
+    left = max(0.0, 1.0 - named_)
+    whole = named_ + left if free else named_  # shares sum to one, whatever was given
+    return shares.select("value", (F.coalesce("named", F.lit(left) * F.col("free") / F.lit(free or 1.0)) / F.lit(whole or 1.0)).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """The cells with a weight whose marginals meet the targets; weights sum to the cells' tokens."""
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
-    total = cells.agg(F.sum("tokens").cast("double").alias("total"))
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     for k in range(rounds):
         for marginal, shares in targets.items():
             sums = now.groupBy(marginal).agg(F.sum("weight").alias("sum"))
-            goal = sums.join(shares, sums[marginal].eqNullSafe(shares["value"])).crossJoin(F.broadcast(total)).select(F.col(marginal).alias("value"), (F.col("share") * F.col("total") / F.col("sum")).alias("by"))
+            goal = sums.join(shares, sums[marginal].eqNullSafe(shares["value"])).select(F.col(marginal).alias("value"), (F.col("share") * F.lit(total) / F.col("sum")).alias("by"))
             now = now.join(goal, now[marginal].eqNullSafe(goal["value"])).select(*MARGINALS, "docs", "tokens", (F.col("weight") * F.col("by")).alias("weight"))
         now = stored(now, f"rake-{k}")
     return now
@@ -84,8 +84,8 @@ def mix(docs: DataFrame, targets: dict[str, dict] | None = None, temper: float =
     cells = stored(rows.groupBy(*MARGINALS).agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens")), "cells")
     shares = {m: stored(targets_of(cells, m, (targets or {}).get(m), temper), f"targets-{m}") for m in MARGINALS}
     raked = rake(cells, shares, rounds).select(*(F.col(m).alias(f"_{m}") for m in MARGINALS), (F.col("weight") / F.col("tokens")).alias("ratio"))
-    most = raked.agg(F.max("ratio").alias("_most"))
-    rates = raked.crossJoin(F.broadcast(most)).withColumn("probability", F.least(F.lit(1.0), F.greatest(F.lit(floor), F.col("ratio") / F.col("_most")))).drop("_most")
+    most = raked.agg(F.max("ratio")).first()[0] or 1.0
+    rates = raked.withColumn("probability", F.least(F.lit(1.0), F.greatest(F.lit(floor), F.col("ratio") / F.lit(most))))
     plain = rows.drop("ratio", "probability", "kept")
     joined = plain.join(rates, [plain[m].eqNullSafe(rates[f"_{m}"]) for m in MARGINALS]).drop(*(f"_{m}" for m in MARGINALS))
     return joined.withColumn("kept", drawn(F.col("doc_id"), seed) < F.col("probability"))
