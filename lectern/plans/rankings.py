@@ -48,10 +48,9 @@ def kinds_table(codings: DataFrame, framework: str, kinds: list[str], by: str =
 def divergence(codings: DataFrame, a: Column, b: Column, by: str = "person_id") -> DataFrame:
     """Per speaker the difference of two measures: raw, as z scores, as percentile ranks, and whether their quadrants flip."""
     means = codings.groupBy(by).agg(F.avg(a).alias("a"), F.avg(b).alias("b"))
-    stats = means.agg(F.avg("a").alias("ma"), F.stddev("a").alias("sa"), F.avg("b").alias("mb"), F.stddev("b").alias("sb"), F.percentile("a", 0.5).alias("da"), F.percentile("b", 0.5).alias("db"))
-    z = lambda c, m, s: F.when(F.col(s) > 0, (F.col(c) - F.col(m)) / F.col(s)).otherwise(0.0)
-    rows = means.join(F.broadcast(stats))  # one row
-    return rows.select(by, (F.col("a") - F.col("b")).alias("raw"), (z("a", "ma", "sa") - z("b", "mb", "sb")).alias("z"), (F.percent_rank().over(Window.orderBy("a")) - F.percent_rank().over(Window.orderBy("b"))).alias("percentile"), ((F.col("a") >= F.col("da")) != (F.col("b") >= F.col("db"))).alias("flips"))
+    s = means.agg(F.avg("a").alias("ma"), F.stddev("a").alias("sa"), F.avg("b").alias("mb"), F.stddev("b").alias("sb"), F.percentile("a", 0.5).alias("da"), F.percentile("b", 0.5).alias("db")).first()
+    z = lambda c, m, sd: (F.col(c) - F.lit(m)) / F.lit(sd) if sd else F.lit(0.0)
+    return means.select(by, (F.col("a") - F.col("b")).alias("raw"), (z("a", s.ma, s.sa) - z("b", s.mb, s.sb)).alias("z"), (F.percent_rank().over(Window.orderBy("a")) - F.percent_rank().over(Window.orderBy("b"))).alias("percentile"), ((F.col("a") >= F.lit(s.da)) != (F.col("b") >= F.lit(s.db))).alias("flips"))
 
 
 def party_shift(codings: DataFrame, measure: Column, cycle: Column, first: str, second: str) -> DataFrame:
