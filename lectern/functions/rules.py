@@ -142,3 +142,29 @@ def year_in_bounds(kind: Column, year: Column, bounds: dict[str, tuple[int, int]
     """Whether a year fits its kind's inclusive bounds; null passes."""
     ok = reduce(lambda rest, b: F.when(kind == b[0], year.between(*b[1])).otherwise(rest), bounds.items(), F.lit(True))
     return year.isNull() | ok
+
+
+# The closed topic vocabulary in canonical order, each with the patterns that name it in a title.
+TOPICS = (
+    ("Educație", (r"\b(?:educa[țt]i(?:e|onal[ăa]?)|(?:în|in)v[ăa][țt][ăa]m[âaî]nt(?:ul|ului)?|[șs]coli(?:lor|i)?|universit[ăa][țt]i|elevi(?:lor)?|studen[țt]i(?:lor)?|profesori(?:lor)?)\b", r"\bComisia\s+pentru\s+(?:în|in)v[ăa][țt][ăa]m[âaî]nt")),
+    ("Sănătate", (r"\b(?:s[ăa]n[ăa]tat(?:e|ii)|spital(?:e|ele|ului|elor)?|medic(?:al[ăa]?|amente?|i(?:lor)?)|farmac(?:ie|euti)|asisten[țt][ăa]\s+medical[ăa])\b", r"\bComisia\s+pentru\s+s[ăa]n[ăa]tate\b")),
+    ("Apărare", (r"\b(?:ap[ăa]rare(?:a|ii)?|armat[ăa]|militar(?:[ăa]|i|e|elor)?|NATO|sigura?n[țt][ăa]\s+na[țt]ional[ăa])\b", r"\bComisia\s+pentru\s+ap[ăa]rare(?:,\s+ordine\s+public[ăa])?", r"\bMinisterul\s+Ap[ăa]r[ăa]rii\s+Na[țt]ionale\b")),
+    ("Economie", (r"\b(?:economie(?:i)?|economic[ăa]?|industri(?:e|ei|al[ăa])|comer[țt](?:ul|ului)?|antreprenor|IMM|întreprinderi(?:lor)?)\b", r"\bComisia\s+pentru\s+(?:industrii|economie|politic[ăa]\s+economic[ăa])\b")),
+    ("Transporturi", (r"\b(?:transport(?:uri(?:le|lor)?|ul|ului)?|drumuri(?:le|lor)?|autostr[ăa]zi(?:le|lor)?|feroviar[ăa]?|aerian[ăa]?|navigabil|c[ăa]i\s+ferate)\b", r"\bComisia\s+pentru\s+transporturi(?:\s+[șs]i\s+infrastructur[ăa])?")),
+    ("Afaceri europene", (r"\b(?:afaceri(?:lor)?\s+europene|Uniunea\s+European[ăa]|UE|(?:Comisi(?:a|ei|ile|ilor)|Consiliul|Parlamentul)\s+Europen[ăaeio]+|directiv[ăa]\s+european[ăa])\b", r"\bComisia\s+(?:pentru\s+)?afaceri(?:lor)?\s+europene\b", r"\bComunic[ăa]ri[ie]?\s+(?:a\s+)?Comisiei\s+Europen")),
+    ("Justiție", (r"\b(?:justi[țt]ie(?:i)?|judec[ăa]tor(?:i|ilor)?|procurori(?:lor)?|penal[ăa]?|infrac[țt]iuni(?:lor)?|magistrat(?:i|ilor|ur[ăa])?)\b", r"\bComisia\s+juridic[ăa](?:,\s+de\s+disciplin[ăa]\s+[șs]i\s+imunit[ăa][țt]i)?", r"\bComisia\s+pentru\s+(?:legisla[țt]ie|drepturile\s+omului)\b")),
+    ("Muncă", (r"\b(?:munc(?:[ăa]|ii|ito(?:r|ri))|salaria[țt]i(?:lor)?|sindicat(?:e|elor)?|pensi(?:e|i|ilor)|[șs]omaj(?:ul|ului)?|asisten[țt][ăa]\s+social[ăa])\b", r"\bComisia\s+pentru\s+munc[ăa](?:\s+[șs]i\s+protec[țt]ie\s+social[ăa])?")),
+    ("Agricultură", (r"\b(?:agricultur(?:[ăa]|ii)|fermier(?:i|ilor)?|crescatori(?:lor)?|culturi(?:lor)?\s+agricole|zootehni[ce]|p[ăa]duri(?:lor)?\s+(?:[șs]i\s+)?dezvoltare)\b", r"\bComisia\s+pentru\s+agricultur[ăa](?:,\s+silvicultur[ăa])?")),
+    ("Mediu", (r"\b(?:mediul(?:ui)?\s+înconjur[ăa]tor|protec[țt]ia\s+mediului|polu[ăa]r(?:e|ii)|p[ăa]duri(?:lor)?|defri[șs][ăa]r(?:e|i)|climatic[ăa]|biodiversitate)\b", r"\bComisia\s+pentru\s+mediu(?:\s+[șs]i\s+echilibru\s+ecologic)?")),
+    ("Cultură", (r"\b(?:cultur(?:[ăa]|ii|al[ăa]?)|patrimoniu(?:lui)?|art(?:[ăa]|ist(?:ic[ăa]?|i))|monumente(?:lor)?\s+istorice)\b", r"\bComisia\s+pentru\s+cultur[ăa](?:,\s+arte)?")),
+    ("Buget-finanțe", (r"\b(?:buget(?:ul|ului|are)?|finan[țt][ăa]ri?|fiscal[ăa]?|impozit(?:e|are)|TVA|taxa(?:elor)?|deficit(?:ul|ului)?|datorie\s+public[ăa]|trezorerie)\b", r"\bComisia\s+pentru\s+buget(?:,\s+finan[țt]e\s+[șs]i\s+b[ăa]nci)?", r"\bCodul\s+fiscal\b")),
+    ("Administrație", (r"\b(?:administra[țt]ie\s+public[ăa]?|autorit[ăa][țt]i\s+locale|prim[ăa]ri(?:e|ile|ilor)|consilii\s+locale|consilii\s+jude[țt]ene)\b", r"\bComisia\s+pentru\s+administra[țt]ie\s+public[ăa](?:,\s+amenajarea\s+teritoriului)?")),
+    ("Politică externă", (r"\b(?:politic[ăa]\s+extern[ăa]|diploma[țt]i(?:e|lor|ic[ăa])|ambasad(?:[ăa]|ei|elor)|tratat(?:e|ul|elor)\s+interna[țt]ional|rela[țt]ii\s+(?:bilaterale|interna[țt]ionale))\b", r"\bComisia\s+pentru\s+politic[ăa]\s+extern[ăa]")),
+    ("Drepturile omului", (r"\b(?:drepturile?\s+omului|libert[ăa][țt]i\s+fundamentale|egalitatea?\s+de\s+[șs]anse|nediscriminare|minorit[ăa][țt]i)\b", r"\bComisia\s+pentru\s+drepturile\s+omului(?:,\s+culte(?:\s+[șs]i\s+problemele\s+minorit[ăa][țt]ilor)?)?")),
+)
+
+
+def topics(title: Column) -> Column:
+    """The topics that a title names, in canonical order; none for an empty title."""
+    named = [F.when(F.coalesce(title, F.lit("")).rlike("(?iuU)" + "|".join(patterns)), F.lit(topic)) for topic, patterns in TOPICS]
+    return F.array_compact(F.array(*named))

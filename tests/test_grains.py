@@ -103,6 +103,12 @@ def test_classifier_and_file_names(spark):
     assert spark.range(1).select(rules.issue_suffix(F.lit("358Bis"))).first()[0] == "Bis"
 
 
+def test_topics(spark):
+    titles = [("Proiect de lege privind bugetul de stat și învățământul", ["Educație", "Buget-finanțe"]), ("SĂNĂTATEA publică; Comisia pentru sănătate", ["Sănătate"]), ("Acorduri NATO și relații internaționale", ["Apărare", "Politică externă"]), ("Diverse", []), (None, [])]
+    df = spark.createDataFrame([(t,) for t, _ in titles], "t string")
+    assert [r.x for r in df.select(rules.topics(F.col("t")).alias("x")).collect()] == [x for _, x in titles]
+
+
 def test_headers_and_votes(spark):
     head = "PARLAMENTUL\nSENATUL\nSESIUNEA A II-A (Legislatura a VIII-a)\nȘedința din ziua de 9 aprilie 2019"
     h = spark.range(1).select(rules.header_meta(F.lit(head)).alias("h")).first().h
