@@ -168,3 +168,58 @@ def topics(title: Column) -> Column:
     """The topics that a title names, in canonical order; none for an empty title."""
     named = [F.when(F.coalesce(title, F.lit("")).rlike("(?iuU)" + "|".join(patterns)), F.lit(topic)) for topic, patterns in TOPICS]
     return F.array_compact(F.array(*named))
+
+
+# Agenda categories with the patterns that a title matches, all of weight 1 but the last.
+CATEGORIES = (
+    ("oath_taking", r"Depunerea jur[ăa]m[âa]ntului"),
+    ("government_hour", r"\bOra\s+Guvernului\b"),
+    ("government_confidence", r"vot\s+de\s+încredere|mo[țt]iun(?:e|ea|ii|ile|ilor)\s+de\s+cenzur[ăa]|angajare(?:a)?\s+r[ăa]spunderii|investitur(?:a|ii)?\s+Guvernului|învestire\s+a\s+Guvernului"),
+    ("tacit_adoption", r"adoptat[ăa]?\s+tacit|împlinirea\s+termenului\s+constitu[țt]ional"),
+    ("commemorative", r"Alocu[țt]iune\s+cu\s+prilejul|Moment\s+de\s+reculegere"),
+    ("final_vote_batch", r"Supunerea\s+la\s+votul\s+final"),
+    ("political_declarations", r"Declara[țt]ii\s+politice|interven[țt]ii\s+ale\s+deputa[țt]ilor"),
+    ("appointment", r"Numirea\s+(?:unor\s+)?membri(?:lor)?|alegerea\s+(?:unor\s+)?membri"),
+    ("motion", r"mo[țt]iun(?:e|ea)\s+(?:simpl[ăa]|de\s+cenzur[ăa])"),
+    ("committee_report_presentation", r"Prezentarea\s+Raportului\s+privind\s+activitatea\s+Comisiei"),
+    ("legislative_transmission", r"Aprobarea\s+transmiterii\s+c[ăa]tre\s+Camera\s+Deputa[țt]ilor|ca\s+prim[ăa]\s+Camer[ăa]\s+sesizat[ăa]"),
+    ("withdrawal", r"solicitarea\s+de\s+retragere\s+din\s+procesul\s+legislativ"),
+    ("notification", r"Not[ăa]\s+pentru\s+exercitarea|Informare\s+privind\s+depunerea|Informare\s+(?:din\s+partea|privind)"),
+    ("regulation_amendment", r"modificarea\s+Regulamentului\s+(?:Senatului|Camerei\s+Deputa[țt]ilor)"),
+    ("party_membership_change", r"trecere(?:a)?\s+(?:de\s+)?la\s+Grupul|demisie\s+din\s+Grupul|activarea\s+doamnei?\s+(?:deputat|senator)|activarea\s+domnului\s+(?:deputat|senator)"),
+    ("subsidiarity_check", r"control\s+de\s+subsidiaritate|în\s+temeiul\s+Protocolului\s+nr\.?\s*2"),
+    ("foreign_address", r"(?:Mesaj(?:ul)?|Discurs(?:ul)?|Alocu[țt]iune)\s+(?:al\s+)?Pre[șs]edintelui\s+(?!Rom[âa]niei)"),
+    ("seat_vacancy", r"vacantarea\s+func[țt]iei|Validarea\s+func[țt]iei"),
+    ("parliamentary_declaration", r"Declara[țt](?:ia|iei)?\s+Parlamentului\s+Rom[âa]niei"),
+    ("delegation_membership", r"Componen[țt]a\s+nominal[ăa]\s+(?:[șs]i\s+a\s+)?(?:conducerii\s+)?Delega[țt]iei\s+permanente"),
+    ("mandate_validation", r"Validarea\s+mandatelor"),
+    ("chamber_officer", r"alegerea\s+(?:vicepre[șs]edin[țt]ilor?|(?:unui|unor)\s+vicepre[șs]edinte)\s+(?:al(?:e)?\s+)?(?:Senatului|Camerei\s+Deputa[țt]ilor)"),
+    ("committee_membership", r"constituirea\s+Comisiei\s+(?:speciale|permanente)|componen[țt]a\s+(?:nominal[ăa]\s+)?Comisiei"),
+    ("eu_consultation", r"opinie\s+referitoare\s+la\s+Comunicarea\s+Comisiei|adoptarea\s+opiniei\s+referitoare\s+la"),
+    ("questions_interpellations", r"[ÎI]ntreb[ăa]ri\s+orale\s+adresate\s+Guvernului|R[ăa]spunsuri\s+(?:scrise\s+)?la\s+întreb[ăa]ri"),
+    ("deadline_extension", r"prelungirea\s+termenului"),
+    ("procedural", r"Aprobarea\s+ordinii\s+de\s+zi|programul(?:ui)?\s+de\s+lucru|Discu[țt]ii\s+procedurale|modificarea\s+ordinii"),
+    ("bill_debate", r"(?:Dezbaterea\s+)?(?:Proiectul(?:ui)?\s+(?:de\s+lege|de\s+hot[ăa]r[âa]re)|Propunerii\s+legislative)"),
+)
+LIGHT = {"bill_debate": 0.5}
+CONFIDENCE_TYPES = (
+    ("învestitură", r"învestir|investitur"),
+    ("cenzură", r"mo[țt]iun(?:e|ea|ii|ile|ilor)\s+de\s+cenzur[ăa]"),
+    ("angajare_răspundere", r"angajare(?:a)?\s+r[ăa]spunderii"),
+    ("demitere", r"demitere"),
+)
+
+
+def agenda_category(title: Column) -> Column:
+    """category, confidence and runners-up (within 0.2 of the top weight, by name) of an agenda title."""
+    t = F.coalesce(title, F.lit(""))
+    hits = F.array_compact(F.array(*(F.when(t.rlike("(?iuU)" + p), F.struct(F.lit(-LIGHT.get(k, 1.0)).alias("w"), F.lit(k).alias("k"))) for k, p in CATEGORIES)))
+    ranked = F.array_sort(hits)
+    top, n = F.get(ranked, F.lit(0)), F.size(hits)
+    sure = F.when(n == 0, 0.4).when(n > 1, 0.75).when(top["w"] <= -1.0, 0.95).otherwise(0.7)
+    runners = F.transform(F.filter(F.slice(ranked, 2, len(CATEGORIES)), lambda h: h["w"] - top["w"] < 0.2), lambda h: h["k"])
+    return F.struct(F.coalesce(top["k"], F.lit("other")).alias("category"), sure.alias("confidence"), runners.alias("runners_up"))
+
+
+def confidence_type(title: Column) -> Column:
+    return first_of(*((title.rlike("(?iuU)" + p), k) for k, p in CONFIDENCE_TYPES))

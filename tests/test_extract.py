@@ -46,3 +46,35 @@ def test_quotes_and_answers(spark):
     got = [r.x for r in df.select(extract.salvaged(F.col("t"), "a int, b array<int>").alias("x")).collect()]
     assert (got[0].a, got[0].b) == (1, [2]) and got[1] is None or got[1].a is None
     assert spark.range(1).select(extract.quoted_at(F.lit("abc Def"), F.lit("DEF")).alias("q")).first().q == [4, 7]
+
+
+REGISTER = """## **DEZBATERI PARLAMENTARE**
+## **Domnului Dan Popa, ministrul energiei**
+## 1. **Ana Rus, deputat PNL, Circumscripția 1**
+Obiectul întrebării: Prețul gazelor.
+Text. Nr. 12A/5.03.2019
+2. **Ion Pop, senator USR**
+Fără obiect.
+## **Curții de Conturi**
+3. **Ana Rus, deputat PNL**
+Întrebare privind auditul
+"""
+
+
+def test_question_register(spark):
+    got = spark.range(1).select(extract.questions(F.lit(REGISTER)).alias("q")).first().q
+    assert [(q.ordinal, q.questioner, q.party, q.addressee, q.addressee_role, q.topic) for q in got] == [(1, "Ana Rus", "PNL", "Dan Popa", "ministrul energiei", "Prețul gazelor"), (2, "Ion Pop", "USR", "Dan Popa", "ministrul energiei", None), (3, "Ana Rus", "PNL", "Curții de Conturi", None, "auditul")]
+    assert (got[0].registration_number, got[0].registration_date) == ("12A", "2019-03-05")
+    assert REGISTER[got[0].start :].startswith("## **Domnului") and REGISTER[got[1].start :].startswith("2. **Ion") and got[2].end == len(REGISTER)
+    heads = spark.range(1).select(extract.report_headings(F.lit("# **Raport**\n\n## SENATUL\ntext\n## Capitolul I")).alias("h")).first().h
+    assert [(h.level, h.text, h.line) for h in heads] == [(1, "Raport", 1), (2, "Capitolul I", 5)]
+
+
+def test_agenda_categories(spark):
+    from lectern.functions import rules
+
+    titles = [("Aprobarea ordinii de zi", "procedural", 0.95, []), ("Moțiune de cenzură", "government_confidence", 0.75, ["motion"]), ("Dezbaterea Proiectului de lege", "bill_debate", 0.7, []), ("Nimic", "other", 0.4, []), (None, "other", 0.4, [])]
+    df = spark.createDataFrame([(t[0],) for t in titles], "t string")
+    got = [r.c for r in df.select(rules.agenda_category(F.col("t")).alias("c")).collect()]
+    assert [(c.category, c.confidence, c.runners_up) for c in got] == [t[1:] for t in titles]
+    assert spark.range(1).select(rules.confidence_type(F.lit("Moțiunea de cenzură"))).first()[0] == "cenzură"
