@@ -74,8 +74,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
 
 
 def drawn(doc_id: Column, seed: int) -> Column:
-    """A number from 0 to below 1, by the id."""
-    return F.shiftrightunsigned(F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(seed)), 11) / float(1 << 53)
+    """A number from 0 to below 1, by the id: the first 52 bits of an md5."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long") / float(1 << 52)
 
 
 def mix(docs: DataFrame, targets: dict[str, dict] | None = None, temper: float = TEMPER, rounds: int = ROUNDS, floor: float = FLOOR, seed: int = 17, topic: Column | None = None, tokens: Column | None = None) -> DataFrame:

@@ -64,7 +64,32 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "tokens", "ratio", "probability", "kept")
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "lang", "topic", "tokens", F.round("ratio", 6).alias("ratio"), F.round("probability", 6).alias("probability"), "kept")
+
+
+def op7_sql() -> str:
+    """Raking unrolled: one CTE a round and marginal."""
+    steps, last = [], "cells"
+    for k in range(mixing.ROUNDS):
+        for m in mixing.MARGINALS:
+            name = f"w_{k}_{m}"
+            steps.append(f"{name} AS (SELECT c.source, c.lang, c.topic, c.tokens, c.weight * t.share * (SELECT sum(tokens) FROM cells) / sum(c.weight) OVER (PARTITION BY c.{m}) AS weight FROM {last} c JOIN t_{m} t ON c.{m} IS NOT DISTINCT FROM t.value)")
+            last = name
+    targets = [f"s_{m} AS (SELECT {m} AS value, pow(CAST(sum(tokens) AS DOUBLE), {mixing.TEMPER}) AS free FROM cells GROUP BY 1), t_{m} AS (SELECT value, free / sum(free) OVER () AS share FROM s_{m})" for m in mixing.MARGINALS]
+    return rf"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents),
+rows AS (SELECT doc_id, source, lang, greatest(len(regexp_extract_all(text, '\S+')), 1) AS tokens,
+  CASE WHEN contains(text, '://') OR contains(text, '@') THEN 'addressed' WHEN regexp_matches(text, '[0-9]{{4}}') THEN 'numeric' WHEN length(text) < 400 THEN 'short'
+  WHEN (length(text) - length(replace(text, chr(10), '')) + 1) * 200 > length(text) THEN 'listed' WHEN length(text) >= 6000 THEN 'long' ELSE 'prose' END AS topic FROM d),
+cells AS (SELECT source, lang, topic, sum(tokens) AS tokens, CAST(sum(tokens) AS DOUBLE) AS weight FROM rows GROUP BY ALL),
+{", ".join(targets)},
+{", ".join(steps)},
+r AS (SELECT source, lang, topic, weight / tokens AS ratio, max(weight / tokens) OVER () AS most FROM {last})
+SELECT rows.doc_id, rows.source, rows.lang, rows.topic, CAST(rows.tokens AS BIGINT) AS tokens, round(r.ratio, 6) AS ratio, round(least(1.0, greatest({mixing.FLOOR}, r.ratio / r.most)), 6) AS probability,
+  CAST('0x' || substr(md5('17:' || rows.doc_id), 1, 13) AS BIGINT) / 4503599627370496.0 < least(1.0, greatest({mixing.FLOOR}, r.ratio / r.most)) AS kept
+FROM rows JOIN r ON rows.source IS NOT DISTINCT FROM r.source AND rows.lang IS NOT DISTINCT FROM r.lang AND rows.topic = r.topic
+"""
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,4 +134,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_warc, op3_sketch, op4_quality, op5_secrets, op6_packing, op7_mixing, op8_ngram_join, op9_topk, op10_toxicity)}
-ORACLE_SQL = {"op1_chat_format": OP1_SQL, "op8_ngram_join": OP8_SQL, "op9_topk": OP9_SQL}
+ORACLE_SQL = {"op1_chat_format": OP1_SQL, "op7_mixing": op7_sql(), "op8_ngram_join": OP8_SQL, "op9_topk": OP9_SQL}
