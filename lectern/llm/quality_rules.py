@@ -151,11 +151,10 @@ def _holds(X: np.ndarray, path: list, names: list[str]) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, most: int = SAMPLE) -> Rules:
     """Fits to at most `most` labelled documents per class, by hash of the id; their statistics come from the same expressions that score."""
-    spark = docs.sparkSession
-    texts, y, prior = toxicity.sample(docs, labels, "quality", F.lit(True) if allowed is None else allowed, most)
+    ids, prior = toxicity.sample(labels, "quality", F.lit(True) if allowed is None else allowed, most)
     names = list(statistics(F.col("text")))
-    if not texts:
-        return Rules(0.0)
-    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string").repartition(8)
-    rows = frame.select("i", *(c.alias(k) for k, c in statistics(F.col("text")).items())).orderBy("i").collect()
-    return train(np.array([r[1:] for r in rows], float), y, names, prior)
+    if not ids:
+        return train(np.zeros((0, len(names))), np.zeros(0), names, prior)
+    few = docs.filter(docs["doc_id"].isin(list(ids))).select(docs["doc_id"].cast("long").alias("doc_id"), *(c.alias(k) for k, c in statistics(F.col("text")).items()))
+    rows = sorted(tuple(r) for r in few.collect())
+    return train(np.array([r[1:] for r in rows], float).reshape(-1, len(names)), np.array([ids[r[0]] for r in rows], int), names, prior)

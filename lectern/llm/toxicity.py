@@ -223,20 +223,29 @@ def train(texts: list[str | None], toxic: np.ndarray, prior: float | None = None
     return Model(table.astype(np.float32), bias, float(theta[0]), float(theta[1]), float(theta[2]), prior, float(top.min()))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, most: int = SAMPLE) -> tuple[list, np.ndarray, float]:
-    """A bounded sample of labelled documents, `most` per class by hash of the id, and the share of label 1 among all allowed labels."""
+def sample(labels: DataFrame, label: str, allowed: Column, most: int = SAMPLE) -> tuple[dict[int, int], float]:
+    """Ids and labels of a bounded sample, `most` per class by hash of the id, and the share of label 1 among all allowed labels."""
     known = labels.filter(allowed & F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     counts = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     ids: dict[int, int] = {}
     for y in (0, 1):
         for r in known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect():
             ids[r.doc_id] = y
-    rows = docs.filter(docs["doc_id"].isin(list(ids))).select(docs["doc_id"].cast("long").alias("doc_id"), "text").collect() if ids else []
-    rows = sorted(rows, key=lambda r: (r.doc_id, r.text or ""))
-    return [r.text for r in rows], np.array([ids[r.doc_id] for r in rows], int), counts.get(1, 0) / max(1, sum(counts.values()))
+    return ids, counts.get(1, 0) / max(1, sum(counts.values()))
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, most: int = SAMPLE) -> Model:
-    """Fits to the labels that are allowed."""
-    texts, y, prior = sample(docs, labels, "toxic", F.lit(True) if allowed is None else allowed, most)
-    return train(texts, y, prior)
+    """Fits to the labels that are allowed. One task gathers the bounded sample and trains, so that neither texts nor features come to the driver."""
+    ids, prior = sample(labels, "toxic", F.lit(True) if allowed is None else allowed, most)
+
+    def run(batches):
+        rows = sorted((i, t or "") for b in batches for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True))
+        m = train([t for _, t in rows], np.array([ids[i] for i, _ in rows], int), prior)
+        numbers = np.array([m.bias, m.scale, m.per_log_window, m.shift, m.prior, m.lowest])
+        yield pa.RecordBatch.from_arrays([pa.array([m.table.astype(np.float32).tobytes()]), pa.array([numbers.tobytes()])], names=["table", "numbers"])
+
+    if not ids:
+        return train([], np.zeros(0, int), prior)
+    few = docs.filter(docs["doc_id"].isin(list(ids))).select(docs["doc_id"].cast("long").alias("doc_id"), "text").repartition(1)
+    row = few.mapInArrow(run, "table binary, numbers binary").first()
+    return train([], np.zeros(0, int), prior) if row is None else Model(np.frombuffer(row.table, np.float32), *np.frombuffer(row.numbers).tolist())
