@@ -61,14 +61,17 @@ def targets_of(cells: DataFrame, marginal: str, given: dict | None, temper: floa
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """The cells with a weight whose marginals meet the targets; weights sum to the cells' tokens."""
-    now = cells.withColumn("weight", F.col("tokens").cast("double"))
+    """The cells with a weight whose marginals meet the targets; weights sum to the cells' tokens. Goals stand on the cells, so that a step is one aggregation and one join with its sums."""
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    now = cells.withColumn("weight", F.col("tokens").cast("double"))
+    for m, shares in targets.items():
+        goal = shares.select(F.col("value").alias("_v"), (F.col("share") * F.lit(total)).alias(f"goal_{m}"))
+        now = now.join(goal, now[m].eqNullSafe(goal["_v"])).drop("_v")
+    now = stored(now, "goals")
     for k in range(rounds):
-        for marginal, shares in targets.items():
-            sums = now.groupBy(marginal).agg(F.sum("weight").alias("sum"))
-            goal = sums.join(shares, sums[marginal].eqNullSafe(shares["value"])).select(F.col(marginal).alias("value"), (F.col("share") * F.lit(total) / F.col("sum")).alias("by"))
-            now = now.join(goal, now[marginal].eqNullSafe(goal["value"])).select(*MARGINALS, "docs", "tokens", (F.col("weight") * F.col("by")).alias("weight"))
+        for m in targets:
+            sums = now.groupBy(F.col(m).alias("_v")).agg(F.sum("weight").alias("_s"))
+            now = now.join(sums, now[m].eqNullSafe(sums["_v"])).withColumn("weight", F.col("weight") * F.col(f"goal_{m}") / F.col("_s")).drop("_v", "_s")
         now = stored(now, f"rake-{k}")
     return now
 
