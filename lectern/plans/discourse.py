@@ -17,7 +17,7 @@ DQI = (
     f"framework_confidence:double,framework_version:string,rationale:string,markers:array<{MARKER}>>"
 )
 PAYLOAD = f"hawkins {FRAMEWORK}, vparty {FRAMEWORK}, voice {VOICE}, dqi {DQI}, text_fingerprint string, _meta struct<producer:string>"
-PRODUCER = "flash-lite"
+PRODUCER = "flash-lite"  # Fixed value: the producer where an entry names none.
 
 
 def parsed(payload: Column) -> Column:
