@@ -13,3 +13,9 @@ def settled(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lectern-"))
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The frame over all cores where its files make fewer tasks than that; a larger input stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -18,7 +18,8 @@ TITLES = ("deputat", "senator", "ministru", "președinte", "vicepreședinte", "s
 
 def fold(c: Column) -> Column:
     """Strict fold: base letters for marked ones; combining marks and replacement characters are dropped."""
-    return F.regexp_replace(F.translate(c, MARKED, PLAIN), "[\\u0300-\\u036f\\ufffd]", "")
+    plain = F.regexp_replace(F.translate(c, MARKED, PLAIN), "[\\u0300-\\u036f\\ufffd]", "")
+    return F.when(c.rlike("[^\\x00-\\x7f]"), plain).otherwise(c)
 
 
 def fold_aggressive(c: Column) -> Column:

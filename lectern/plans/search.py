@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.functions.session import spread
 from lectern.functions.text import analyzed
 from lectern.operators.windows import page_bounds
 
@@ -32,7 +33,7 @@ def bm25(df: DataFrame, ident: str, fields: dict[str, float], q: str, operator:
     wanted = query_terms(df, q)
     if not wanted:
         return df.select(ident, F.lit(0.0).alias("score"))
-    lists = df.select(ident, F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.lit(float(b)).alias("boost"), analyzed(F.coalesce(F.col(f), F.lit(""))).alias("t")) for f, b in fields.items()))).alias("x"))
+    lists = spread(df.select(ident, *fields)).select(ident, F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.lit(float(b)).alias("boost"), analyzed(F.coalesce(F.col(f), F.lit(""))).alias("t")) for f, b in fields.items()))).alias("x"))
     lists = lists.select(ident, "x.field", "x.boost", F.size("x.t").alias("dl"), *(_times("x.t", w).alias(f"tf_{i}") for i, w in enumerate(wanted)))
     stats = lists.groupBy("field").agg(F.count_if(F.col("dl") > 0).alias("n"), F.avg(F.when(F.col("dl") > 0, F.col("dl"))).alias("avg_dl"), *(F.count_if(F.col(f"tf_{i}") > 0).alias(f"df_{i}") for i in range(len(wanted))))
     rows = lists.join(F.broadcast(stats), "field")  # one row a field
