@@ -42,6 +42,17 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
 
 
+def release() -> None:
+    """Gives freed memory back to the system, for workers live on and share an executor's memory."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_CHARS):
     """Splits a batch at rows so that a slice holds about `most` bytes of text, or one long row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -52,6 +63,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_CHARS)
         stop = max(at + 1, int(np.searchsorted(ends, done + most, side="right")))
         yield batch.slice(at, stop - at)
         at = stop
+    release()
 
 
 def words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:

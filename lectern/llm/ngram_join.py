@@ -23,9 +23,9 @@ from lectern.llm.components import components
 
 WIDTH, PERCENT = 5, 80
 HOT = 32
-KEY_BITS = 24
+KEY_BITS = 22
 MOST_BITS = 27  # of a bitmap: 16 MB
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 2_000_000
 
 
 # ---- bitmaps of a bounded size
@@ -70,7 +70,7 @@ def long_lists(docs: DataFrame, total: int, hot: int, width: int) -> tuple[np.nd
 
     Tasks count the shingles they read and send, for each range of keys, the sorted keys' gaps (two bytes each where they fit) and the counts above one; a range is summed in one pass over its runs. The number of ranges follows the number of documents.
     """
-    range_bits = max(2, int(np.ceil(np.log2(max(1, total) / 2000))))
+    range_bits = max(2, int(np.ceil(np.log2(max(1, total) / 500))))
     bits = range_bits + KEY_BITS
 
     def count(batches):
@@ -120,7 +120,7 @@ def long_lists(docs: DataFrame, total: int, hot: int, width: int) -> tuple[np.nd
         yield from finish()
 
     sent = docs.select("text").mapInArrow(count, "part long, gaps binary, n long, more binary, times binary")
-    parts = max(1, min(1 << range_bits, total // 4000))
+    parts = max(1, min(1 << range_bits, total // 2000))
     found = stored(sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(total_of, "key long, df long"), "shared")
     n, most = found.count(), 1 << (MOST_BITS - 3)
     shared = found if n <= most else found.filter(F.col("df") > found.approxQuantile("df", [1 - most / n], 0.001)[0])

@@ -26,7 +26,7 @@ GROUP_SIZE = 8
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
 _loaded: dict = {}
-_CACHED_WORDS = 800_000
+_CACHED_WORDS = 400_000
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 #: The letters that byte-level vocabularies write for bytes: printable Latin-1 for themselves, the rest from 256 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -214,5 +214,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, tiers=TIERS, end_id
         packer.finish()
         if packer.out:
             yield packer.batch()
+        encoder.known.clear()  # the worker lives on
+        common.release()
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)

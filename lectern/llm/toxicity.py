@@ -242,6 +242,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, most:
         rows = sorted((i, t or "") for b in batches for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True))
         m = train([t for _, t in rows], np.array([ids[i] for i, _ in rows], int), prior)
         numbers = np.array([m.bias, m.scale, m.per_log_window, m.shift, m.prior, m.lowest])
+        del rows
+        common.release()
         yield pa.RecordBatch.from_arrays([pa.array([m.table.astype(np.float32).tobytes()]), pa.array([numbers.tobytes()])], names=["table", "numbers"])
 
     if not ids:
