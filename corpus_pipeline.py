@@ -36,8 +36,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the raked probabilities draw."""
-    return mixing.mix(docs, temper=TEMPER).filter("kept").select(docs.columns)
+    """The documents that the raked probabilities draw, about a share mixing.BUDGET of the tokens."""
+    return mixing.mix(docs, temper=TEMPER, budget=mixing.BUDGET).filter("kept").select(docs.columns)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Mixing sources to target weights by iterative proportional fitting, in DataFrame functions only.
 
-Documents are counted into cells (source, language, topic) with their tokens. Raking turns the cells' tokens into weights whose marginals by source, language and topic meet target shares. A document's ratio is its cell's weight over its cell's tokens; its probability is the ratio over the largest ratio, at least `floor`, so that no probability exceeds one; a hash of the id decides, the same way in every run.
+Documents are counted into cells (source, language, topic) with their tokens. Raking turns the cells' tokens into weights whose marginals by source, language and topic meet target shares. A document's ratio is its cell's weight over its cell's tokens; a hash of the id decides, the same way in every run.
+
+With a `budget`, a share of all tokens, its probability is the ratio times the one factor at which the budget is kept in expectation; probabilities stop at one, what they would exceed it by goes to the other cells, and there is no floor. So a rare value does not settle how much of the corpus stays. Without a budget the probability is the ratio over the largest ratio, at least `floor`, and one rare value lowers all others.
 
 Targets are shares that need not be given: by default they are the observed shares to the power `temper` (below one: rarer values gain). Given targets name values of a marginal; values without a target keep their tempered share of what is left.
 
@@ -20,6 +22,7 @@ MARGINALS = ("source", "lang", "topic")
 TEMPER = 0.8
 ROUNDS = 8
 FLOOR = 0.05
+BUDGET = 0.6
 
 
 def token_count(text: Column) -> Column:
@@ -76,19 +79,38 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     return now
 
 
+def factor_of(raked: DataFrame, budget: float) -> float:
+    """The factor on ratios at which probabilities of at most one keep a share `budget` of the tokens. Each step fits the cells below one to what those at one leave; the set at one only grows, so the last step is exact."""
+    size = F.col("ratio") * F.col("tokens")
+    tokens, weight = raked.agg(F.sum("tokens"), F.sum(size)).first()
+    if not weight:
+        return 1.0
+    factor, full = budget * tokens / weight, 0
+    while True:
+        below = F.col("ratio") * F.lit(factor) < 1.0
+        at_one, free = raked.agg(F.coalesce(F.sum(F.when(~below, F.col("tokens"))), F.lit(0)), F.sum(F.when(below, size))).first()
+        if at_one <= full or not free:
+            return factor
+        factor, full = (budget * tokens - at_one) / free, at_one
+
+
 def drawn(doc_id: Column, seed: int) -> Column:
     """A number from 0 to below 1, by the id: the first 52 bits of an md5."""
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long") / float(1 << 52)
 
 
-def mix(docs: DataFrame, targets: dict[str, dict] | None = None, temper: float = TEMPER, rounds: int = ROUNDS, floor: float = FLOOR, seed: int = 17, topic: Column | None = None, tokens: Column | None = None) -> DataFrame:
-    """The documents with topic, tokens, ratio, probability and whether each is kept."""
+def mix(docs: DataFrame, targets: dict[str, dict] | None = None, temper: float = TEMPER, rounds: int = ROUNDS, floor: float = FLOOR, seed: int = 17, topic: Column | None = None, tokens: Column | None = None, budget: float | None = None) -> DataFrame:
+    """The documents with topic, tokens, ratio, probability and whether each is kept; `budget` is the share of tokens to keep, and then `floor` is not used."""
     rows = counted(docs, topic, tokens)
     cells = stored(rows.groupBy(*MARGINALS).agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens")), "cells")
     shares = {m: stored(targets_of(cells, m, (targets or {}).get(m), temper), f"targets-{m}") for m in MARGINALS}
-    raked = rake(cells, shares, rounds).select(*(F.col(m).alias(f"_{m}") for m in MARGINALS), (F.col("weight") / F.col("tokens")).alias("ratio"))
-    most = raked.agg(F.max("ratio")).first()[0] or 1.0
-    rates = raked.withColumn("probability", F.least(F.lit(1.0), F.greatest(F.lit(floor), F.col("ratio") / F.lit(most))))
+    raked = rake(cells, shares, rounds).select(*(F.col(m).alias(f"_{m}") for m in MARGINALS), (F.col("weight") / F.col("tokens")).alias("ratio"), "tokens")
+    if budget is None:
+        most = raked.agg(F.max("ratio")).first()[0] or 1.0
+        probability = F.greatest(F.lit(floor), F.col("ratio") / F.lit(most))
+    else:
+        probability = F.col("ratio") * F.lit(factor_of(raked, budget))
+    rates = raked.drop("tokens").withColumn("probability", F.least(F.lit(1.0), probability))
     plain = rows.drop("ratio", "probability", "kept")
     joined = plain.join(rates, [plain[m].eqNullSafe(rates[f"_{m}"]) for m in MARGINALS]).drop(*(f"_{m}" for m in MARGINALS))
     return joined.withColumn("kept", drawn(F.col("doc_id"), seed) < F.col("probability"))

@@ -68,6 +68,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "topic", "tokens", F.round("ratio", 6).alias("ratio"), F.round("probability", 6).alias("probability"), "kept")
 
 
+def op7_mixing_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op7_mixing, with probabilities that keep a stated share of the tokens."""
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"), budget=mixing.BUDGET)
+    return mixed.select("doc_id", "source", "lang", "topic", "tokens", F.round("ratio", 6).alias("ratio"), F.round("probability", 6).alias("probability"), "kept")
+
+
 def op7_sql() -> str:
     """Raking unrolled: one CTE a round and marginal."""
     steps, last = [], "cells"
@@ -92,6 +98,20 @@ FROM rows JOIN r ON rows.source IS NOT DISTINCT FROM r.source AND rows.lang IS N
 """
 
 
+def op7_budget_sql() -> str:
+    """The raking of op7_sql. The factor is the largest that any set of cells at one leaves, cells taken by ratio."""
+    last = f"w_{mixing.ROUNDS - 1}_{mixing.MARGINALS[-1]}"
+    raking = op7_sql().partition("r AS (SELECT source, lang, topic, weight / tokens AS ratio")[0]
+    return raking + rf"""
+r AS (SELECT source, lang, topic, tokens, weight, weight / tokens AS ratio FROM {last}),
+s AS (SELECT sum(tokens) OVER () AS all_tokens, sum(tokens) OVER (ORDER BY ratio) AS free_tokens, sum(weight) OVER (ORDER BY ratio) AS free FROM r),
+f AS (SELECT max(({mixing.BUDGET} * all_tokens - (all_tokens - free_tokens)) / free) AS factor FROM s)
+SELECT rows.doc_id, rows.source, rows.lang, rows.topic, CAST(rows.tokens AS BIGINT) AS tokens, round(r.ratio, 6) AS ratio, round(least(1.0, r.ratio * f.factor), 6) AS probability,
+  CAST('0x' || substr(md5('17:' || rows.doc_id), 1, 13) AS BIGINT) / 4503599627370496.0 < least(1.0, r.ratio * f.factor) AS kept
+FROM rows JOIN r ON rows.source IS NOT DISTINCT FROM r.source AND rows.lang IS NOT DISTINCT FROM r.lang AND rows.topic = r.topic CROSS JOIN f
+"""
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
 
@@ -133,5 +153,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_warc, op3_sketch, op4_quality, op5_secrets, op6_packing, op7_mixing, op8_ngram_join, op9_topk, op10_toxicity)}
-ORACLE_SQL = {"op1_chat_format": OP1_SQL, "op7_mixing": op7_sql(), "op8_ngram_join": OP8_SQL, "op9_topk": OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_warc, op3_sketch, op4_quality, op5_secrets, op6_packing, op7_mixing, op7_mixing_budget, op8_ngram_join, op9_topk, op10_toxicity)}
+ORACLE_SQL = {"op1_chat_format": OP1_SQL, "op7_mixing": op7_sql(), "op7_mixing_budget": op7_budget_sql(), "op8_ngram_join": OP8_SQL, "op9_topk": OP9_SQL}

@@ -132,6 +132,33 @@ def test_mixing_against_numpy(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_keeps_its_budget_beside_a_rare_source(spark):
+    rows = [(i, f"s{i % 2}", "en", "word " * (20 + i % 30)) for i in range(400)]
+    one = (400, "rare", "en", "word " * 10)
+    for docs in (rows, [*rows, one]):
+        out = mixing.mix(spark.createDataFrame(docs, "doc_id long, source string, lang string, text string"), budget=0.6).collect()
+        total, expected = sum(r.tokens for r in out), sum(r.tokens * r.probability for r in out)
+        assert abs(expected / total - 0.6) < 1e-9
+        assert max(r.probability for r in out) <= 1.0
+    assert {r.probability for r in out if r.source == "rare"} == {1.0}
+    below = [r for r in out if r.probability < 1.0]
+    assert max(r.probability / r.ratio for r in below) - min(r.probability / r.ratio for r in below) < 1e-9
+    everything = mixing.mix(spark.createDataFrame([*rows, one], "doc_id long, source string, lang string, text string"), budget=1.0).collect()
+    assert all(r.probability > 1 - 1e-9 for r in everything)
+    assert mixing.mix(spark.createDataFrame([], "doc_id long, source string, lang string, text string"), budget=0.6).count() == 0
+
+
+def test_mixing_budget_against_sql(spark):
+    import duckdb
+
+    from lectern.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = duckdb.sql(queries.ORACLE_SQL["op7_mixing_budget"]).fetchall()
+    assert sorted(map(tuple, queries.op7_mixing_budget(spark, sf).collect())) == sorted(want)
+
+
 def brute_components(rows):
     sets = [shingles(t) for _, t in rows]
     parent: dict = {i: i for i, _ in rows}
