@@ -171,6 +171,12 @@ def t1_fold(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.fold(F.substring("text", 1, 300)).alias("folded"))
 
 
+@query(rf"SELECT doc_id, sha256(regexp_replace(translate(text, '{text.MARKED}', '{text.PLAIN}'), '[\x{{0300}}-\x{{036f}}\x{{fffd}}]', '', 'g')) AS folded_sha256 FROM documents")
+def t1_fold_whole(spark, sf):
+    """The fold of whole texts, as a digest."""
+    return table(spark, sf, "documents").select("doc_id", F.sha2(text.fold(F.col("text")), 256).alias("folded_sha256"))
+
+
 @query("""SELECT a.p_name AS a, b.p_name AS b, least(levenshtein(a.p_name, b.p_name), 4) AS distance
 FROM (SELECT DISTINCT p_name FROM part) a JOIN (SELECT DISTINCT p_name FROM part) b ON substr(a.p_name, 1, 3) = substr(b.p_name, 1, 3) AND a.p_name < b.p_name""")
 def t6_levenshtein(spark, sf):

@@ -36,3 +36,15 @@ def test_query(spark, duck, name):
         assert got == Counter(tuple(plain(r[i]) for i in at) for r in want.fetchall())
     else:
         assert got
+
+
+def test_fold_covers_whole_texts(spark, tmp_path):
+    import hashlib
+
+    long = "a" * 400 + "ț" + "e\u0301\ufffd"
+    spark.createDataFrame([(1, long), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = dict(map(tuple, queries.QUERIES["t1_fold_whole"](spark, str(tmp_path)).collect()))
+    assert got == {1: hashlib.sha256(("a" * 400 + "te").encode()).hexdigest(), 2: None}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT doc_id, text FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert dict(con.sql(queries.ORACLE_SQL["t1_fold_whole"]).fetchall()) == got
