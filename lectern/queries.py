@@ -236,6 +236,16 @@ def j1_report_to_session(spark, sf):
     return joins.dated_lookup(lines, orders, "day", priority, "o_orderkey", "o_orderkey", "session").select("l_orderkey", "l_linenumber", "session")
 
 
+@query("""WITH d AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, min_by(o_orderkey, struct_pack(p := CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, k := o_orderkey)) AS k FROM orders GROUP BY 1)
+SELECT l_orderkey, l_linenumber, d.k AS session FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate FROM lineitem) l LEFT JOIN d ON d.day = strftime(l_shipdate, '%Y-%m-%d')""")
+def j1_report_to_session_all(spark, sf):
+    """Date lookup of every line."""
+    orders = table(spark, sf, "orders").withColumn("day", day("o_orderdate"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").distinct().withColumn("day", day("l_shipdate"))
+    priority = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    return joins.dated_lookup(lines, orders, "day", priority, "o_orderkey", "o_orderkey", "session").select("l_orderkey", "l_linenumber", "session")
+
+
 J2_SQL = """s AS (SELECT a.o_orderkey, min_by(b.o_orderkey, struct_pack(d := b.o_orderdate, k := b.o_orderkey)) AS successor FROM orders a JOIN orders b
   ON a.o_custkey = b.o_custkey AND b.o_orderdate > a.o_orderdate AND date_diff('day', a.o_orderdate, b.o_orderdate) <= 60 GROUP BY 1)"""
 
@@ -289,6 +299,19 @@ def j9_longest_prefix(spark, sf):
     return joins.longest_prefix(raws, alias.withColumn("id", F.row_number().over(Window.orderBy("alias")).cast("long")), "raw", "alias", "id").select("raw", "match")
 
 
+@query("""WITH r AS (SELECT DISTINCT p_type || ' ' || p_name || ' ' || p_brand AS raw FROM part), a AS (SELECT DISTINCT p_type || ' ' || split_part(p_name, ' ', 1) AS alias FROM part UNION SELECT DISTINCT p_type FROM part),
+n AS (SELECT alias, row_number() OVER (ORDER BY alias) AS id FROM a)
+SELECT raw, max_by(n.id, length(n.alias)) AS match FROM r LEFT JOIN n ON r.raw = n.alias OR starts_with(r.raw, n.alias || ' ') GROUP BY raw""")
+def j9_longest_prefix_all(spark, sf):
+    """Longest of the aliases of all parts."""
+    from pyspark.sql import Window
+
+    part = table(spark, sf, "part")
+    raws = part.select(F.concat_ws(" ", "p_type", "p_name", "p_brand").alias("raw")).distinct()
+    alias = part.select(F.concat_ws(" ", "p_type", F.substring_index("p_name", " ", 1)).alias("alias")).union(part.select("p_type")).distinct()
+    return joins.longest_prefix(raws, alias.withColumn("id", F.row_number().over(Window.orderBy("alias")).cast("long")), "raw", "alias", "id").select("raw", "match")
+
+
 @query("""SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'right' WHEN l.doc_id IS NULL THEN 'left' ELSE 'both' END AS place
 FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 3 <> 0) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)""")
 def j16_gold_and_candidate(spark, sf):

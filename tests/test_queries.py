@@ -48,3 +48,13 @@ def test_fold_covers_whole_texts(spark, tmp_path):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT doc_id, text FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert dict(con.sql(queries.ORACLE_SQL["t1_fold_whole"]).fetchall()) == got
+
+
+def test_lookups_cover_all_rows(spark, duck, tmp_path):
+    lines = queries.QUERIES["j1_report_to_session_all"](spark, SF)
+    assert lines.count() == duck.sql("SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate FROM lineitem)").fetchall()[0][0]
+    rows = [(1, "A", "x y", "b"), (900, "A", "far y", "b")]
+    spark.createDataFrame(rows, "p_partkey long, p_type string, p_name string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    aliases = sorted({"A", "A x", "A far"})
+    got = dict(map(tuple, queries.QUERIES["j9_longest_prefix_all"](spark, str(tmp_path)).collect()))
+    assert got == {"A x y b": aliases.index("A x") + 1, "A far y b": aliases.index("A far") + 1}
