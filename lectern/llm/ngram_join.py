@@ -1,8 +1,11 @@
 """N-gram Jaccard join: an exact set-similarity join of word shingles by T-occurrence search.
 
-A document's lists are the inverted lists of its shingles. Documents within the threshold share T of them, so a document's L = T - 1 longest lists can be left aside: a partner occurs in one of the short ones (DivideSkip with a merge threshold of T - L = 1). Lists are ranked by counts over all documents: shingles of one document alone come first, then those of up to `hot` documents, then the rest, each by hash, one order for all. Lists of a single member are dropped at once. Short lists are merged by Spark's sort (rows sorted by shingle), long ones are probed by binary search in the candidates' sorted sets, which gives the exact overlap.
+A document's lists are the inverted lists of its shingles. Documents within the threshold share T of them, so one occurs in any T - L short lists of the other when its L longest are left aside. Two steps use that:
 
-Rows of a list aren't paired with each other. Equal sets are one representative. Each list first offers its first member to all others (a star), links found are joined to components, then again with another first member; only what still stands in different components is paired, by size and position within the list. Components need no more links than that, and none between different texts is lost. No cap is set on partners, candidates or list lengths.
+* Routing, with L = T - 1: a partner occurs in one of a document's rarest lists. Lists are ranked by counts over all documents: shingles of one document alone come first, then those of up to `hot` documents, then the rest, each by hash, one order for all. Lists of a single member are dropped at once. Near copies are folded first, as each list offers its first member to all others (a star), twice; equal sets are one representative. What then shares a list, lies within the threshold in size and still stands in different components hangs together in a cluster.
+* Search, within the blocks of a cluster and then between each two of them (`occurrence`): DivideSkip picks L by the threshold and the longest list, merges a document's short lists, and probes the long ones by binary search for members that occur T - L times. Only links that join components leave a task, so what is sent grows with the documents and not with the pairs.
+
+Components need no more links than that, and none between different texts is lost. No cap is set on partners, candidates or list lengths; blocks are of a bounded number of shingles (or one document). A cluster of many blocks whose members are near each other without linking costs a search between each two blocks.
 
 What is broadcast are bitmaps of a fixed size at most. They tell shared and hot shingles apart; where more are shared than a bitmap holds, those in the most documents are kept in it and lists of single members stay, which costs time, not results.
 
@@ -18,14 +21,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm import common
-from lectern.llm.common import stored
+from lectern.llm.common import discard, stored
 from lectern.llm.components import components
+from lectern.llm.occurrence import spanning_links
 
 WIDTH, PERCENT = 5, 80
 HOT = 32
 KEY_BITS = 22
 MOST_BITS = 27  # of a bitmap: 16 MB
 FLUSH_TOKENS = 2_000_000
+BLOCK_SHINGLES = 500_000  # of a block that a task searches
+CELL_LOAD = 4_000_000  # shingles that a task of searches is given on average, at most
 
 
 # ---- bitmaps of a bounded size
@@ -193,34 +199,37 @@ def prepared(docs: DataFrame, lists: tuple[np.ndarray, np.ndarray, int, bool], w
 
 
 def shared_lists(postings: DataFrame) -> DataFrame:
-    """Of postings sorted by shingle within partitions, those of lists with two members or more; `first` is the list's first member. Neighbours tell, so no list is held."""
+    """Of postings sorted by shingle within partitions, those of lists with two members or more; `first` is the list's first member and `n_first` its number of shingles. Neighbours tell, so no list is held."""
+    names = ["token", "rid", "n", "pos", "first", "n_first"]
 
     def run(batches):
         kept = None  # the last row of the batch before
-        first = None
+        first = None  # of its list: the shingle, the first member, that one's size, and whether it has two members
         for batch in batches:
             if not batch.num_rows:
                 continue
             if kept is not None:
                 batch = pa.concat_batches([kept, batch])
-            token, rid = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "rid"))
+            token, rid, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "rid", "n"))
             same = token[1:] == token[:-1]
             new = np.concatenate([[True], ~same])
-            leader = rid[np.maximum.accumulate(np.where(new, np.arange(len(token)), 0))]
+            at = np.maximum.accumulate(np.where(new, np.arange(len(token)), 0))
+            leader, size = rid[at], n[at]
             if first is not None and first[0] == token[0]:  # the list began before
-                leader[np.cumsum(new) == 1] = first[1]
+                began = np.cumsum(new) == 1
+                leader[began], size[began] = first[1], first[2]
             after = np.concatenate([same, [False]])
-            before = np.concatenate([[first is not None and first[0] == token[0] and kept is not None and first[2]], same])
+            before = np.concatenate([[first is not None and first[0] == token[0] and kept is not None and first[3]], same])
             use = (before | after)[:-1]
             if use.any():
                 part = batch.slice(0, len(token) - 1)
-                yield pa.RecordBatch.from_arrays([*(pc.filter(part.column(c), pa.array(use)) for c in ("token", "rid", "n", "pos")), pa.array(leader[:-1][use])], names=["token", "rid", "n", "pos", "first"])
-            first = (token[-1], leader[-1], bool(len(token) > 1 and same[-1]) or bool(len(token) == 1 and before[0]))
+                yield pa.RecordBatch.from_arrays([*(pc.filter(part.column(c), pa.array(use)) for c in names[:4]), pa.array(leader[:-1][use]), pa.array(size[:-1][use])], names=names)
+            first = (token[-1], leader[-1], size[-1], bool(len(token) > 1 and same[-1]) or bool(len(token) == 1 and before[0]))
             kept = batch.slice(len(token) - 1)
-        if kept is not None and first[2]:
-            yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in ("token", "rid", "n", "pos")), pa.array([first[1]], pa.int64())], names=["token", "rid", "n", "pos", "first"])
+        if kept is not None and first[3]:
+            yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in names[:4]), pa.array([first[1]], pa.int64()), pa.array([first[2]], pa.int64())], names=names)
 
-    return postings.select("token", "rid", "n", "pos").mapInArrow(run, "token long, rid long, n long, pos int, first long")
+    return postings.select(*names[:4]).mapInArrow(run, "token long, rid long, n long, pos int, first long, n_first long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -249,7 +258,70 @@ def _sized(a: str, b: str, percent: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
 
 
-def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, hot: int = HOT, rounds: int = 2) -> DataFrame:
+def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows with the component that their rid stands in so far."""
+    return rows.join(found.withColumnRenamed("id", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
+
+
+def clusters(lists: DataFrame, percent: int) -> DataFrame:
+    """(cluster, rid, n, component): members of open lists, those that may link in one cluster.
+
+    Partners differ in size by the threshold at most, so sizes are cut in bands of that ratio and a member stands in its own band and the next one: partners meet in one of them. Members of a list within a band are tied to the first of them, and what hangs together is a cluster.
+    """
+    ratio = float(np.log(100 / percent)) * (1 + 1e-9) if percent < 100 else 1e-6
+    band = F.floor(F.log("n") / F.lit(ratio)).cast("long")
+    rows = lists.withColumn("band", F.explode(F.array(band, band + 1))).withColumn("node", F.xxhash64("rid", "band"))
+    open_ = rows.groupBy("token", "band").agg(F.min("component").alias("c"), F.max("component").alias("z"), F.min("node").alias("least")).filter("c <> z").select("token", "band", "least")
+    tied = stored(rows.join(open_, ["token", "band"]).select("rid", "n", "component", "node", "least").distinct(), "tied")
+    found = components(tied.select(F.col("least").alias("a"), F.col("node").alias("b"))).select(F.col("id").alias("node"), F.col("component").alias("cluster"))
+    members = tied.select("rid", "n", "component", "node").distinct().join(found, "node", "left")
+    return members.select(F.coalesce("cluster", "node").alias("cluster"), "rid", "n", "component")
+
+
+def dealt(members: DataFrame, block_shingles: int) -> DataFrame:
+    """The members of clusters with several components, with the number of blocks that their cluster is dealt to, and the block."""
+    sizes = members.groupBy("cluster").agg(F.sum("n").alias("all"), F.min("component").alias("c"), F.max("component").alias("z")).filter("c <> z")
+    sizes = sizes.select("cluster", F.ceil(F.col("all") / block_shingles).cast("int").alias("blocks"))
+    return members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
+
+
+def searched(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the components of each cell (cluster, i, j), by T-occurrence search. Of a cell of two blocks only links between these are looked for."""
+    spark = cells.sparkSession
+    load = cells.agg(F.sum("n")).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(load) // CELL_LOAD))
+    key = ("cluster", "i", "j")
+    rows = cells.select("rid", *key, "side", "component").join(sets, "rid").select(*key, "rid", "side", "component", "tokens")
+
+    def run(batches):
+        now, ids, sides, groups, held = None, [], [], [], []
+
+        def finish():
+            if len(held) > 1:
+                both = np.array(sides) if now[1] != now[2] else None
+                if out := spanning_links(ids, both, np.array(groups), held, percent):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+
+        for batch in batches:
+            cell = list(zip(*(batch.column(c).to_pylist() for c in key), strict=True))
+            own, side, group = (batch.column(c).to_pylist() for c in ("rid", "side", "component"))
+            tokens = batch.column("tokens")
+            offsets, values = tokens.offsets.to_numpy(), tokens.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            for r, c in enumerate(cell):
+                if c != now:
+                    yield from finish()
+                    now, ids, sides, groups, held = c, [], [], [], []
+                ids.append(own[r])
+                sides.append(side[r])
+                groups.append(group[r])
+                held.append(values[offsets[r] : offsets[r + 1]].copy())
+        yield from finish()
+        common.release()
+
+    return rows.repartition(parts, *key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long").distinct()
+
+
+def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, hot: int = HOT, rounds: int = 2, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id that links reach) of each row."""
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = source.count()
@@ -268,27 +340,35 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     # whole sets, of those in any shared list
     wanted = stored(lists.select("rid").distinct(), "wanted")
     texts = source.filter(F.col("doc_id").isNotNull() & may_hold(F.col("doc_id"), bitmap(wanted, "rid")))  # and a few more
+    # several texts of one id have several sets
     sets = stored(_sets(texts, width), "tokens")
-    sized = lists.join(lists.groupBy("rid").agg(F.max("n").alias("n_first")).withColumnRenamed("rid", "first"), "first")
-    stars = sized.filter((F.col("first") != F.col("rid")) & _sized("n", "n_first", percent)).select(F.col("first").alias("a"), F.col("rid").alias("b")).distinct()
+    stars = lists.filter((F.col("first") != F.col("rid")) & _sized("n", "n_first", percent)).select(F.col("first").alias("a"), F.col("rid").alias("b")).distinct()
     links = stored(links.union(verified(stars, sets, percent)), "links")
     found = components(links)
     for turn in range(1, rounds + 1):
         # lists that still stand in several components
-        placed = lists.select("token", "rid", "n", "pos").join(found.withColumnRenamed("id", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid")).select("token", "rid", "n", "pos", "component")
+        placed = _placed(lists.select("token", "rid", "n"), found)
         open_ = placed.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("z"), F.min(F.struct(F.xxhash64("rid", F.lit(turn)).alias("h"), "rid", "n", "component")).alias("l")).filter("c <> z")
-        lists = stored(placed.join(open_.select("token", F.col("l.rid").alias("first"), F.col("l.n").alias("n_first"), F.col("l.component").alias("c_first")), "token"), "lists")
+        left = stored(placed.join(open_.select("token", F.col("l.rid").alias("first"), F.col("l.n").alias("n_first"), F.col("l.component").alias("c_first")), "token"), "lists")
+        discard(lists)
+        lists = left
         if turn < rounds:
             pairs = lists.filter((F.col("component") != F.col("c_first")) & _sized("n", "n_first", percent)).select(F.col("first").alias("a"), F.col("rid").alias("b")).distinct()
-        else:
-            left, right = (lists.select("token", F.col("rid").alias(r), F.col("n").alias(f"n_{r}"), F.col("pos").alias(f"p_{r}"), F.col("component").alias(f"c_{r}")) for r in ("a", "b"))
-            # the lists before this one are shared by at most the lesser position, those after it by what is left of either set
-            reach = F.least("p_a", "p_b") + F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
-            fits = (reach * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent) & _sized("n_a", "n_b", percent)
-            pairs = left.join(right, (left["token"] == right["token"]) & (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & fits).select("a", "b").distinct()
-        more = stored(verified(pairs, sets, percent), "links")
-        links = links.union(more)
-        found = components(links)
+            links = links.union(stored(verified(pairs, sets, percent), "links"))
+            found = components(links)
+    members = stored(dealt(clusters(lists, percent), block_shingles), "clusters")
+    discard(lists)
+    inside = members.select("cluster", "rid", "n", "component", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).alias("side"))
+    links = links.union(stored(searched(inside, sets, percent), "links"))
+    found = components(links)
+    # clusters of several blocks that still stand in several components: each two blocks
+    several = dealt(_placed(members.filter("blocks > 1").select("cluster", "rid", "n"), found).select("cluster", "rid", "n", "component"), block_shingles)
+    across = several.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other <> block")
+    across = across.select("cluster", "rid", "n", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"))
+    links = links.union(stored(searched(across, sets, percent), "links"))
+    found = components(links)
+    for used in (members, sets, wanted):
+        discard(used)
     place = member.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", "digest", F.coalesce("component", "rep").alias("component")).groupBy("doc_id", "digest").agg(F.min("component").alias("component"))
     return rows.select("doc_id", "n", "digest").join(place, ["doc_id", "digest"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
