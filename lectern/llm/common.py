@@ -47,8 +47,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fold(doc_id: str, folds: int) -> Column:
-    """crc32 of the id as text, modulo the number of folds."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
+    """crc32 of the id as text, modulo the number of folds; a null id is in fold -1, which is none of them."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds, F.lit(-1))
 
 
 def release() -> None:

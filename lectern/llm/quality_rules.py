@@ -2,7 +2,7 @@
 
 Statistics are Spark column expressions. Shallow trees are grown in numpy on a bounded sample of labelled rows; every path from a root becomes a conjunctive rule; logistic weights of the rules are fitted with an L1 penalty, which leaves a few; these compile to one Spark column expression, so scoring needs no Python.
 
-A null or empty text has zero for all statistics and gets the score that the rules give these. Without both classes in the sample the score is the share of good labels. Rows are scored by themselves, repeated rows alike. Further columns stay; an input column that is named like an added one is replaced.
+A null or empty text has zero for all statistics and gets the score that the rules give these. Without both classes in the sample the score is the share of good labels. Of an id with several labels the highest counts, of several rows with that id the least statistics; rows without an id teach nothing. Rows are scored by themselves, repeated rows alike. Further columns stay; an input column that is named like an added one is replaced.
 """
 
 from __future__ import annotations
@@ -156,5 +156,5 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, most:
     if not ids:
         return train(np.zeros((0, len(names))), np.zeros(0), names, prior)
     few = docs.filter(docs["doc_id"].isin(list(ids))).select(docs["doc_id"].cast("long").alias("doc_id"), *(c.alias(k) for k, c in statistics(F.col("text")).items()))
-    rows = sorted(tuple(r) for r in few.collect())
+    rows = sorted((r.doc_id, *r.s) for r in few.groupBy("doc_id").agg(F.min(F.struct(*names)).alias("s")).collect())
     return train(np.array([r[1:] for r in rows], float).reshape(-1, len(names)), np.array([ids[r[0]] for r in rows], int), names, prior)

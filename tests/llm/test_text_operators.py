@@ -175,6 +175,55 @@ def test_toxicity_learns_and_shares_subwords(spark, labelled):
     assert np.allclose(got[-1], model.scores(pa.array([texts[0]]))[0])
 
 
+def plain_logit(model, text):
+    """The mean over words of the mean over the n-grams of <word> and the word, one by one."""
+    from xxhash import xxh64_intdigest
+
+    def mixed(x):
+        return int(common.mix(np.array([x], np.uint64))[0]) % len(model.table)
+
+    total, last, n = 0.0, None, 0
+    for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+        if not any(c.isalpha() for c in w) or w == last:
+            continue
+        last = w
+        marked = "<" + (w.strip(toxicity._EDGES) or w) + ">"
+        buckets = [mixed(xxh64_intdigest(marked))]
+        for size in toxicity.GRAMS:
+            for at in range(len(marked) - size + 1):
+                h = 0
+                for c in marked[at : at + size]:
+                    h = (h * int(toxicity.FACTOR) + ord(c) + 1) % 2**64
+                buckets.append(mixed((h + size - 1) % 2**64))
+        total += sum(float(model.table[b]) for b in buckets) / len(buckets)
+        n += 1
+    return total / max(1, n) + model.bias, n
+
+
+def test_toxicity_logits_against_plain_loops(labelled, monkeypatch):
+    model = toxicity.train(labelled[0][:120], labelled[1][:120])
+    assert model.scale > 0
+    texts = [*ODD, *labelled[0][:12], "Word 12 word -- word word WORD ...", "q" * 700 + "xyz " + "ab" * 90]
+    for piece in (toxicity.PIECE, 40):  # words are hashed in pieces
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        z, n = model.logits(pa.array(texts, pa.string()))
+        want = [plain_logit(model, t) for t in texts]
+        assert n.tolist() == [w[1] for w in want] and np.allclose(z, [w[0] for w in want])
+
+
+def test_toxicity_frames(spark, labelled):
+    texts, y = labelled
+    docs = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate(texts[:200])] + [(0, "zzz later text of the same id", 1.0), (None, texts[0], 1.0)], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y[:200])] + [(3, 0), (None, 1), (900, 1), (5, None)], "doc_id long, toxic int")
+    assert toxicity.sample(labels.filter("doc_id in (3, 4)"), "toxic", F.lit(True))[0] == {3: 1, 4: 0}  # the highest label of an id counts
+    assert len(toxicity.sample(labels, "toxic", F.lit(True), 10)[0]) == 20
+    model = toxicity.fit(docs, labels)
+    plain = toxicity.train([min(t, "zzz later text of the same id") if i == 0 else t for i, t in enumerate(texts[:200])], y[:200], float(np.mean([*y[:200], 1])))
+    assert np.allclose(model.table, plain.table) and np.isclose(model.shift, plain.shift)
+    assert docs.limit(0).select(model.score(F.col("text"))).count() == 0
+    assert toxicity.fit(docs.limit(0), labels).scores(pa.array(["x"])).shape == (1,)
+
+
 def test_toxicity_without_both_classes(spark):
     assert toxicity.train(["a"], np.array([0])).scores(pa.array(["x", None])).tolist() == [0.0, 0.0]
     assert toxicity.train([], np.array([])).scores(pa.array([], pa.string())).tolist() == []
@@ -205,3 +254,5 @@ def test_quality_frames(spark, labelled):
     assert len(odd) == len(ODD) and odd[0].score == odd[1].score
     assert rules.score(docs.limit(0)).count() == 0
     assert quality_rules.fit(docs, labels.limit(0)).score(docs).count() == 120
+    again = docs.unionByName(docs).unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
+    assert quality_rules.fit(again, labels.unionByName(labels.limit(5))) == rules  # repeated rows and labels count once
