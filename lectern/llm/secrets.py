@@ -11,6 +11,7 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -87,10 +88,11 @@ def scan(text: str, scope: int = SCOPE) -> list[tuple[str, int, int, int | None]
     base = base_spans(text)
     ends = sorted((s, e) for _, s, e in base)
     starts = [s for s, _ in ends]
+    furthest = list(accumulate((e for _, e in ends), max))  # of the spans up to each
 
     def free(s: int, e: int) -> bool:
         k = bisect_left(starts, e)
-        return all(x <= s for _, x in ends[max(0, k - 4) : k])
+        return k == 0 or furthest[k - 1] <= s
 
     weak = [("random", m.start(), m.end()) for m in RANDOM.finditer(text) if _random_looking(m[0])]
     weak += [("user", m.start(), m.end()) for m in USER.finditer(text)]

@@ -1,8 +1,8 @@
 """Exact top-k search by inner product, by no-random-access aggregation.
 
-Queries and candidates are dealt to a grid of blocks. In a block every dimension has a list of the candidates sorted by their component. A query reads the lists sequentially, from the end that its own component favours, always as far as brings the open gap of each list down to one level; a candidate's score lies between what was read of it plus the least that its unread lists can add, and the same plus the most they can add. Candidates whose upper bound is below the k-th best lower bound (of this and earlier blocks) are outsiders. When few are left, what is unread of these is added and the scores are final. The k best of each block meet per query.
+Queries and candidates are dealt to a grid of blocks. In a block every dimension has a list of the candidates sorted by their component. A query reads the lists sequentially, each from the end that its own component favours, in steps: a step reads each list as far as brings its open gap (what the next entry could still add above the least) down to one level for all. A candidate's score lies between what was read of it plus the least that its unread lists can add, and the same plus their frontiers. Candidates whose upper bound is below the k-th best lower bound (of this and earlier blocks) are outsiders for good. Steps go on until few candidates are left or the lists are at their ends; the tails of the lists are then read on for these few only, which makes their scores final. No candidate's vector is ever looked up. The k best of each block meet per query.
 
-Vectors that are null or hold null or non-finite components take no part; shorter vectors are filled up with zeros, an empty vector scores 0. Every row but those with the query's id is a candidate; repeated rows count once each. Ties go to the smaller id. Components times the scale that don't fit 64-bit integers saturate. Empty tables give no rows. Further columns are ignored.
+Vectors that are null or hold null or non-finite components take no part, nor do rows without an id; shorter vectors are filled up with zeros, an empty vector scores 0. Every row but those with the query's id is a candidate; repeated rows count once each. Ties go to the smaller id. Components times the scale that don't fit 64-bit integers saturate, and so do scores. Where sums may leave the doubles' exact integers, scores are computed in whole, by exact integers. Empty tables give no rows. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 CHUNK = 8192
 QUERY_BLOCK = 512
-LEVELS = (0.08,)
+LEVELS = (0.1, 0.06, 0.04, 0.025, 0.015, 0.0)  # of the widest list's range
+LEFT = 64  # a block's candidates are few when one of so many is left
 
 
 def quantised(vector: Column, scale: int = 1024) -> Column:
@@ -31,14 +32,16 @@ class Lists:
         self.ids, self.X = ids[order], np.ascontiguousarray(X[order])
         self.order = np.argsort(self.X, axis=0, kind="stable").T.copy()
         self.values = np.take_along_axis(self.X.T, self.order, axis=1).astype(np.float64)
-        self.exact = float(np.abs(self.X).max(initial=0)) < 2**22
+        self.most = float(np.abs(self.X.astype(np.float64)).max(initial=0))
+        self.read, self.finished = 0, 0  # entries read before the steps ended, and candidates left then
 
     def search(self, q: np.ndarray, own: int, k: int, best: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """The k best (-score, id) of this block and of those found before."""
         m, d = self.X.shape
-        if not self.exact:  # too large for sums in doubles: no bounds, all scores
-            return _merge(best, [(-int(sum(int(a) * int(b) for a, b in zip(x, q, strict=True))), int(i)) for i, x in zip(self.ids, self.X, strict=True) if i != own], k)
         weights = q.astype(np.float64)
+        reach = self.most * float(np.abs(weights).max(initial=0)) * d
+        if reach >= 2**52:
+            return self._whole(q, own, k, best, reach < 2**62)
         active = np.flatnonzero(weights)
         low = np.where(weights > 0, self.values[:, 0], self.values[:, -1]) * weights  # what a list adds at least
         high = np.where(weights > 0, self.values[:, -1], self.values[:, 0]) * weights
@@ -48,31 +51,28 @@ class Lists:
         depth = np.zeros(d, np.int64)
         alive = np.flatnonzero(self.ids != own)
         earlier = np.array([-s for s, _ in best], np.float64)
+        frontier = np.zeros(d)
         for level in LEVELS:
-            if len(alive) <= max(4 * k, m // 16):
+            if len(alive) <= max(2 * k, m // LEFT):
                 break
             gap = level * widest
             ids, add = [], []
-            frontier = np.zeros(d)
             for j in active:
                 w, values = weights[j], self.values[j]
                 # entries whose contribution exceeds the least by more than the gap
                 if w > 0:
                     to = m - int(np.searchsorted(values, (low[j] + gap) / w, side="right"))
                     new = slice(m - to, m - depth[j])
-                    frontier[j] = values[m - to - 1] * w - low[j] if to < m else 0.0
                 else:
                     to = int(np.searchsorted(values, (low[j] + gap) / w, side="left"))
                     new = slice(depth[j], to)
-                    frontier[j] = values[to] * w - low[j] if to < m else 0.0
                 if to > depth[j]:
                     rows = self.order[j, new]
                     unread[j, rows] = 0
                     ids.append(rows)
                     add.append(values[new] * w - low[j])
                     depth[j] = to
-                else:
-                    frontier[j] = min(frontier[j], high[j] - low[j]) if depth[j] == 0 else frontier[j]
+                frontier[j] = 0.0 if depth[j] == m else values[m - depth[j] - 1 if w > 0 else depth[j]] * w - low[j]
             if ids:
                 partial += np.bincount(np.concatenate(ids), np.concatenate(add), m)
             lower = partial[alive]
@@ -80,10 +80,26 @@ class Lists:
             both = np.concatenate([earlier, lower])
             if len(both) > k:
                 alive = alive[upper >= np.partition(both, len(both) - k)[len(both) - k]]
-        scores = self.X[alive] @ q
+        self.read += int(depth.sum())
+        self.finished += len(alive)
+        # the tails, for those that are left
+        place = np.full(m, -1)
+        place[alive] = np.arange(len(alive))
+        scores = partial[alive]
+        for j in active:
+            if depth[j] < m:
+                tail = slice(0, m - depth[j]) if weights[j] > 0 else slice(depth[j], m)
+                at = place[self.order[j, tail]]
+                hit = np.flatnonzero(at >= 0)
+                scores[at[hit]] += self.values[j, tail][hit] * weights[j] - low[j]
         top = np.argsort(-scores, kind="stable")[:k]  # rows stand by id
         return _merge(best, [(-int(scores[t]), int(self.ids[alive[t]])) for t in top], k)
 
+    def _whole(self, q: np.ndarray, own: int, k: int, best: list, fits: bool) -> list[tuple[int, int]]:
+        """All scores, by exact integers."""
+        scores = (self.X @ q if fits else self.X.astype(object) @ q.astype(object)).tolist()
+        return _merge(best, [(-int(s), int(i)) for s, i in zip(scores, self.ids, strict=True) if i != own], k)
+
 
 def _merge(a: list, b: list, k: int) -> list:
     return sorted([*a, *b])[:k]
@@ -121,7 +137,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, scale: int = 1024, c
 
         def finish():
             consume()
-            out = [(asked[n][0], n, i, -s) for n, best in found.items() for s, i in best]
+            out = [(asked[n][0], n, i, min(max(-s, -(2**63)), 2**63 - 1)) for n, best in found.items() for s, i in best]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["query_id", "query_row", "vec_id", "score"])
 

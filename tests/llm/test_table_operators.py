@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm import components, mixing, ngram_join, packing, topk_nra, warc_writer
+from lectern.llm import components, mixing, ngram_join, occurrence, packing, topk_nra, warc_writer
 from tests.llm.test_text_operators import ODD, shingles
 
 
@@ -206,6 +206,63 @@ def test_jaccard_edge_rows(spark):
     assert ngram_join.jaccard_classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_jaccard_of_a_large_group_of_near_copies(spark):
+    """2000 documents, most at a similarity of some 0.7, and some that link across."""
+    rng = np.random.default_rng(11)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(2000):
+        w = list(base)
+        for k in rng.choice(120, 2, replace=False):
+            w[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(w)))
+    for i in range(2000, 2040):  # one edit more than another document has
+        w = rows[i * 7 % 2000][1].split()
+        w[int(rng.integers(5, 115))] = f"y{i}"
+        rows.append((i, " ".join(w)))
+    order = {i: {t: None for t in shingles(x)} for i, x in rows}
+    lists: dict = {}
+    for i, s in order.items():
+        for t in s:
+            lists.setdefault(t, []).append(i)
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    many = np.zeros(len(rows), int)
+    for i, s in order.items():
+        many[:] = 0
+        for t in s:
+            many[lists[t]] += 1
+        sizes = np.array([len(order[j]) for j in range(len(rows))])
+        for j in np.flatnonzero(100 * many >= 80 * (len(s) + sizes - many)):
+            a, b = root(i), root(int(j))
+            parent[max(a, b)] = min(a, b)
+    want = sorted((i, len(order[i]), root(i)) for i in order)
+    assert 40 < len({c for _, _, c in want}) < 2040
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_classes(df, block_shingles=30_000).collect())
+    assert got == want
+
+
+def test_occurrence_search_against_counting():
+    rng = np.random.default_rng(12)
+    sets = [np.unique(rng.integers(0, 80, rng.integers(1, 60)).astype(np.uint64)) for _ in range(150)] + [np.zeros(0, np.uint64)]
+    block = occurrence.Block(sets)
+    every = np.ones(len(sets), bool)
+    for percent in (30, 60, 80, 100):
+        for s in sets:
+            want = [j for j, t in enumerate(sets) if len(s) and (o := len(np.intersect1d(s, t))) and 100 * o >= percent * (len(s) + len(t) - o)]
+            assert block.search(s, every, percent).tolist() == want
+        groups = np.arange(len(sets))
+        links = occurrence.spanning_links(list(groups), None, groups, sets, percent)
+        assert len(links) == len({tuple(x) for x in links}) < len(sets)
+    assert occurrence.spanning_links([], None, np.zeros(0, int), [], 80) == []
+
+
 def test_spark_hash(spark):
     values = np.array([0, 1, 2**40 + 7, 2**62 + 11], np.uint64)
     got = [r.h for r in spark.createDataFrame([(int(v),) for v in values], "v long").select(F.xxhash64("v").alias("h")).collect()]
@@ -240,9 +297,22 @@ def test_bounds_stop_early_and_stay_exact():
     rng = np.random.default_rng(7)
     X = rng.integers(-400, 400, (5000, 64))
     lists = topk_nra.Lists(np.arange(5000), X)
-    for q in X[:20]:
+    for q in [*X[:20], np.zeros(64, int), np.eye(64, dtype=int)[3]]:
         s = X @ q
         assert lists.search(q, -1, 10, []) == sorted((-int(v), i) for i, v in enumerate(s))[:10]
+    assert lists.finished < 0.1 * 22 * 5000 and lists.read < 0.95 * 22 * 5000 * 64
+
+
+def test_top_k_of_large_components_and_odd_ids(spark):
+    rows = [(0, [2.0**52, 1.0]), (1, [2.0**52, 3.0]), (2, [-(2.0**52), 0.0]), (3, [1.0, 1.0]), (4, [1e300, 0.0]), (None, [1.0, 1.0]), (5, [2.0**14, 2.0**14])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in topk_nra.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    clip = lambda v: max(min(v, 2**63 - 1), -(2**63))
+    vectors = {i: [clip(int(np.floor(1024 * x))) if abs(x) < 1e17 else 2**63 - 1 for x in v] for i, v in rows if i is not None}
+    want = sorted((-clip(sum(a * b for a, b in zip(vectors[0], v, strict=True))), i) for i, v in vectors.items() if i)
+    assert got == [(i, -s) for s, i in want]
+    one = topk_nra.top_k(df.filter("vec_id in (3, 5)"), F.col("vec_id") == 3).collect()
+    assert [(r.vec_id, r.score) for r in one] == [(5, 2 * 1024 * 1024 * 2**14)]
 
 
 def test_pipeline_stages(spark):
