@@ -207,13 +207,13 @@ def test_jaccard_edge_rows(spark):
 
 
 def test_jaccard_of_a_large_group_of_near_copies(spark):
-    """2000 documents, most at a similarity of some 0.7, and some that link across."""
+    """2000 documents, most at a similarity of some 0.6, of which a few link."""
     rng = np.random.default_rng(11)
     base = [f"b{i}" for i in range(120)]
     rows = []
     for i in range(2000):
         w = list(base)
-        for k in rng.choice(120, 2, replace=False):
+        for k in rng.choice(120, 3, replace=False):
             w[k] = f"x{i}_{k}"
         rows.append((i, " ".join(w)))
     for i in range(2000, 2040):  # one edit more than another document has
