@@ -25,14 +25,17 @@ MARKS = (
     ("plenary_stenogram", 0.65, r"DEZBATERI\s+PARLAMENTARE", None),
 )
 IMPLIED = (("plenary_joint_session", "plenary_stenogram"), ("report_facsimile", "plenary_joint_session"), ("report_facsimile", "plenary_stenogram"))
-# Patterns for the markdown cleaner, applied in order.
+# What the markdown cleaner replaces, in order: image notes, running headers, page numbers, hyphens at line ends, blanks at line ends, blank lines.
 CLEANING = (
-    (r"(?m)^\*\*==> picture .*$", ""),
+    (r"(?m)^\*\*==> picture \[[^\]]+\] intentionally omitted <==\*\*\s*\n", ""),
+    (r"(?m)^\s*MONITORUL\s+OFICIAL\s+AL\s+ROM[ÂA]NIEI[^\n]*\n", ""),
     (r"(?m)^\s*\d{1,3}\s*\n", ""),
     (r"(?U)(\w)-\n(\w)", "$1$2"),
     (r"(?m)[ \t]+$", ""),
     (r"\n{3,}", "\n\n"),
 )
+# The bytes at the head of a text that its class is read from.
+HEAD_BYTES = 10_000
 
 
 def first_of(*rules: tuple[Column, str]) -> Column:
@@ -78,7 +81,8 @@ def clean_markdown(md: Column) -> Column:
 
 
 def classified(text: Column, suffix: Column) -> Column:
-    """top_type, top_score, second_type, second_score and ambiguous of a document, from marks in its text and its issue's suffix."""
+    """top_type, top_score, second_type, second_score and ambiguous of a document, from marks in the first 10,000 bytes of its text and its issue's suffix."""
+    text = F.decode(F.substring(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 1, HEAD_BYTES), "UTF-8")
     scores = {k: F.lit(0.0) for k in CLASSES}
     low = F.lower(F.coalesce(suffix, F.lit("")))
     for kind, letter in (("committee_synthesis", "c"), ("report_facsimile", "r")):
@@ -101,43 +105,11 @@ def session_type(text: Column) -> Column:
     return first_of((text.rlike("(?i)extraordinar"), "extraordinary"), (text.rlike("(?i)ordinar"), "ordinary"))
 
 
-def vote_counts(text: Column) -> Column:
-    """Votes for, against, abstaining and not voting; dots between thousands go; `unanimous` where the text says so."""
-    number = lambda p: F.regexp_replace(extracted(text, p), r"\.", "").try_cast("int")
-    n = r"(\d{1,3}(?:\.\d{3})*|\d+)"
-    return F.struct(
-        number(rf"(?iu){n}\s+(?:de\s+)?voturi\s+pentru").alias("for"),
-        number(rf"(?iu){n}\s+(?:de\s+)?(?:voturi\s+)?(?:împotrivă|contra)").alias("against"),
-        number(rf"(?iu){n}\s+(?:de\s+)?ab[țţ]ineri").alias("abstain"),
-        number(rf"(?iu){n}\s+(?:nu\s+(?:și-au\s+exprimat|au\s+votat))").alias("not_voting"),
-        text.rlike("(?iu)unanimitate").alias("unanimous"),
-    )
-
-
-def vote_outcome(text: Column, counts: Column) -> Column:
-    """Rejected, approved or deferred: by phrase, else by unanimity, else by comparing the counts."""
-    return first_of(
-        (text.rlike("(?iu)(?:a fost|se) resping|respins"), "rejected"),
-        (text.rlike("(?iu)adoptat|aprobat"), "approved"),
-        (counts["unanimous"], "approved"),
-        (counts["against"] >= counts["for"], "rejected"),
-        (counts["for"].isNotNull(), "approved"),
-        (text.rlike("(?iu)amân"), "deferred"),
-    )
-
-
 def quorum(registered: Column, total: Column) -> Column:
     """Whether at least half of all members are registered."""
     return registered >= F.ceil(total / 2)
 
 
-def reference_keys(text: Column) -> Column:
-    """Keys type:number/year of bills, laws, ordinances and emergency ordinances cited, in order and once each."""
-    cite = r"(?iu)\b(PL-x|Pl-x|L|B|Legea|OUG|OG)\s*(?:nr\.?\s*)?(\d+)\s*/\s*(\d{4})"
-    found = F.regexp_extract_all(text, F.lit(cite), 0)
-    return F.array_distinct(F.transform(found, lambda x: F.concat_ws(":", F.lower(F.regexp_extract(x, cite, 1)), F.concat(F.regexp_extract(x, cite, 2), F.lit("/"), F.regexp_extract(x, cite, 3)))))
-
-
 def year_in_bounds(kind: Column, year: Column, bounds: dict[str, tuple[int, int]]) -> Column:
     """Whether a year fits its kind's inclusive bounds; null passes."""
     ok = reduce(lambda rest, b: F.when(kind == b[0], year.between(*b[1])).otherwise(rest), bounds.items(), F.lit(True))

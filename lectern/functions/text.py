@@ -11,9 +11,13 @@ PLAIN = "aaaaaaaaacccdeeeeeeeeeiiiiiiiinnnnoooooooorrsssssttt" + "uuuuuuuuuuyyzz
 # Characters that stand for letters in badly converted person names.
 MOJIBAKE = "„∫˛ºªþÞ™Ðð‡šŠŽžÓ"
 MOJIBAKE_FOR = "astsStTSIiaoOeeI"
-# Honorifics, titles and roles that may stand before a name.
-HONORIFICS = ("Domnul", "Doamna", "Domnișoara", "Domnule", "Doamnă", "Dl.", "Dna", "D-na", "D-l")
-TITLES = ("deputat", "senator", "ministru", "președinte", "vicepreședinte", "secretar de stat")
+# Honorifics, and titles, that may stand before a name, in lower case.
+HONORIFICS = ("domnișoara", "domnisoara", "domnişoara", "domnul", "doamna", "dl.", "dna.", "dl", "dna")
+TITLES = (
+    "deputat", "deputata", "deputatã", "deputatul", "senator", "senatorul", "senatoare", "ministru", "ministrul", "ministrului", "secretar", "secretarul",
+    "președinte", "presedinte", "preşedinte", "președintele", "presedintele", "preşedintele", "vicepreședinte", "vicepresedinte", "vicepreşedinte",
+    "viceprim-ministru", "viceprim", "prim-ministru", "premier", "europarlamentar",
+)
 
 
 def fold(c: Column) -> Column:
@@ -39,12 +43,12 @@ def person_tokens(c: Column) -> Column:
 
 
 def peel(c: Column) -> Column:
-    """A name without honorific, title and what follows a comma."""
+    """A name without one honorific, one title, what follows a comma, and points at its end; white space is collapsed."""
     out = F.trim(c)
     for group in (HONORIFICS, TITLES):
-        out = F.regexp_replace(out, "^(?:" + "|".join(x.replace(".", "\\.") for x in group) + ")\\s+", "")
-    out = F.regexp_replace(F.substring_index(out, ",", 1), "\\s+", " ")
-    return F.regexp_replace(F.trim(out), "[.:]+$", "")
+        out = F.regexp_replace(out, "(?iu)^(?:" + "|".join(x.replace(".", "\\.") for x in group) + ")(?: \\s*|$)", "")
+    out = F.trim(F.regexp_replace(F.substring_index(out, ",", 1), "\\s+", " "))
+    return F.trim(F.regexp_replace(out, "[.:]+$", ""))
 
 
 def capped_distance(a: Column, b: Column, cap: int) -> Column:

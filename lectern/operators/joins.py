@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from lectern.functions.session import settled
 
 
+MOST_DOUBLINGS = 40  # a chain of more than 2**40 links isn't one
+
+
 def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row per key, by the given order."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -30,15 +33,16 @@ def earliest_successor(df: DataFrame, key: str, day: str, ident: str, days: int
 
 
 def chain_ends(links: DataFrame, source: str, target: str) -> DataFrame:
-    """(source, end, hops): where following the links ends, by pointer doubling; every round halves what is left. Links need one target each and no cycle."""
+    """(source, end, hops): where following the links ends, by pointer doubling; every round halves what is left. Links need one target each; a cycle is an error."""
     now = links.select(F.col(source).alias("source"), F.col(target).alias("end"), F.lit(1).cast("long").alias("hops"))
-    while True:
+    for _ in range(MOST_DOUBLINGS):
         step = now.select(F.col("source").alias("_s"), F.col("end").alias("_e"), F.col("hops").alias("_h"))
         new = now.join(step, now["end"] == step["_s"], "left").select("source", F.coalesce("_e", "end").alias("end"), (F.col("hops") + F.coalesce("_h", F.lit(0))).alias("hops"), F.col("_s").isNotNull().alias("_moved"))
         new = settled(new)
         if new.filter("_moved").limit(1).count() == 0:
             return new.drop("_moved")
         now = new.drop("_moved")
+    raise ValueError("the links hold a cycle")
 
 
 def as_of(probe: DataFrame, build: DataFrame, key: str, at: str, build_at: str, values: list[str], strict: bool = False) -> DataFrame:

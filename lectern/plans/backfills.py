@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.text import fold, fold_aggressive, person_tokens, tokens
+from lectern.functions.text import fold, fold_aggressive, peel, person_tokens, tokens
 from lectern.operators.joins import active_mandate, fuzzy_names, longest_prefix, lookup_cascade
 
-# Labels that are no persons.
-NOT_PERSONS = ("<chair narration>", "Din sală", "Voci din sală", "Guvernul", "Președintele de ședință")
+# Labels that are no persons, in lower case.
+NOT_PERSONS = ("<chair narration>", "din sală", "din sala", "din sal", "guvernul", "guvern", "guvernul româniei", "voci", "voci din sală", "voci din sala", "vocea din sală", "aplauze")
 
 
 def overwritten(old: Column, new: Column, force: bool = False) -> tuple[Column, Column]:
@@ -53,30 +53,34 @@ def ministries(probe: DataFrame, aliases: DataFrame, raw: str = "raw") -> DataFr
 
 
 def persons(probe: DataFrame, registry: DataFrame, raw: str = "raw", year: str = "year") -> DataFrame:
-    """Adds (match, via): folded name, token set of two or more, then one edit in all; homonyms are told apart by the mandate that is active in the year, else stay unmatched.
+    """Adds (match, via). The name is peeled first; then it must equal a registered one as it is, but for case, or folded; else be the same set of two tokens or more; else differ by one edit in all.
 
+    Each tier yields the one person it finds, or of several the one whose mandate is active in the year; otherwise the next tier is tried. Names that differ only by case or marks count as homonyms of each other.
     registry: id, canonical_name, aliases, mandates array<struct<from:int,to:int>>.
     """
-    names = registry.select("id", "mandates", F.explode(F.array_distinct(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>"))))).alias("name")).dropDuplicates(["id", "name"])
-    rows = probe.withColumn("_row", F.monotonically_increasing_id())
-    asked = rows.filter(~F.col(raw).isin(*NOT_PERSONS)).select("_row", F.col(raw).alias("_raw"), F.col(year).alias("_year"))
-    key = lambda c: F.lower(fold_aggressive(F.trim(c)))
+    spelled = F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))
+    key = lambda c: F.lower(fold_aggressive(c))
     bag_of = lambda c: F.when(F.size(person_tokens(c)) >= 2, F.array_join(F.array_sort(person_tokens(c)), " "))
-
-    def tier(rank: int, via: str, pairs: DataFrame) -> DataFrame:
-        return pairs.select("_row", "_year", F.col("id"), "mandates", F.lit(rank).alias("_rank"), F.lit(via).alias("_via"))
-
-    one = tier(1, "diacritic", asked.join(names, key(F.col("_raw")) == key(F.col("name"))))
-    two = tier(2, "token_set", asked.join(names, bag_of(F.col("_raw")) == bag_of(F.col("name"))))
-    near = fuzzy_names(asked.select("_raw").distinct(), names, "_raw", "name", "id", person_tokens).distinct()
-    three = tier(3, "fuzzy", asked.join(near, "_raw").join(names.select("id", "mandates").dropDuplicates(["id"]), "id"))
-    every = one.unionByName(two).unionByName(three).groupBy("_row", "_rank", "_via", "id").agg(F.first("_year").alias("_year"), F.first("mandates").alias("mandates"))
-    every = every.withColumn("_active", F.col("_year").isNotNull() & active_mandate(F.col("mandates"), F.col("_year")))
-    sums = every.groupBy("_row", "_rank", "_via").agg(F.count("*").alias("n"), F.count_if("_active").alias("active"), F.max("id").alias("only"), F.max(F.when(F.col("_active"), F.col("id"))).alias("holder"))
-    chosen = sums.withColumn("match", F.when(F.col("n") == 1, F.col("only")).when(F.col("active") == 1, F.col("holder"))).filter("match is not null")
-    first = F.row_number().over(Window.partitionBy("_row").orderBy("_rank"))
-    best = chosen.withColumn("_r", first).filter("_r = 1").select("_row", "match", F.col("_via").alias("via"))
-    return rows.join(best, "_row", "left").drop("_row")
+    names = registry.select("id", "mandates", F.explode(F.array_distinct(spelled)).alias("name")).filter("name is not null")
+    asked = probe.select(F.col(raw).alias("_raw"), F.col(year).cast("int").alias("_year")).distinct().withColumn("_name", peel(F.col("_raw")))
+    asked = asked.filter((F.length("_name") >= 2) & ~F.lower("_name").isin(*NOT_PERSONS))
+
+    def tier(rank: int, pairs: DataFrame, via: Column) -> DataFrame:
+        each = pairs.select("_raw", "_year", "id", F.when(F.col("_year").isNotNull(), active_mandate(F.col("mandates"), F.col("_year"))).alias("_active"), via.alias("_via"))
+        one = each.groupBy("_raw", "_year", "id").agg(F.max("_active").alias("_active"), F.min("_via").alias("_via"))
+        found = one.groupBy("_raw", "_year").agg(F.count("*").alias("n"), F.count_if("_active").alias("active"), F.max("id").alias("only"), F.max(F.when(F.col("_active"), F.col("id"))).alias("holder"), F.min("_via").alias("via"))
+        chosen = F.when(F.col("n") == 1, F.col("only")).when(F.col("active") == 1, F.col("holder"))
+        return found.select("_raw", "_year", F.lit(rank).alias("_rank"), chosen.alias("match"), "via").filter("match is not null")
+
+    same = asked.join(names, key(F.col("_name")) == key(F.col("name")))
+    how = F.when(F.col("_name") == F.col("name"), "1exact").when(F.lower("_name") == F.lower("name"), "2case").otherwise("3diacritic")
+    sets_ = asked.join(names, bag_of(F.col("_name")) == bag_of(F.col("name")))
+    near = fuzzy_names(asked.select("_name").distinct(), names, "_name", "name", "id", person_tokens).distinct()
+    fuzzy = asked.join(near, "_name").join(registry.select("id", "mandates").dropDuplicates(["id"]), "id")
+    every = tier(1, same, how).unionByName(tier(2, sets_, F.lit("4token_set"))).unionByName(tier(3, fuzzy, F.lit("5fuzzy")))
+    best = every.groupBy("_raw", "_year").agg(F.min_by(F.struct("match", F.substring("via", 2, 20).alias("via")), "_rank").alias("_b"))
+    on = probe[raw].eqNullSafe(best["_raw"]) & probe[year].cast("int").eqNullSafe(best["_year"])
+    return probe.join(best, on, "left").select(*probe.columns, F.col("_b.match").alias("match"), F.col("_b.via").alias("via"))
 
 
 def government_votes(votes: DataFrame, force: bool = False) -> DataFrame:
@@ -88,9 +92,14 @@ def government_votes(votes: DataFrame, force: bool = False) -> DataFrame:
 
 
 def stubs(unresolved: DataFrame, name: str, year: str, taken: DataFrame) -> DataFrame:
-    """New registry rows for unresolved names: clustered by folded tokens, the most frequent spelling as name, the id from the tokens with a number where it is taken."""
+    """New registry rows for unresolved names: clustered by folded tokens, the most frequent spelling as name, the id from the tokens with the first number from 2 on that is free where it is taken."""
     keyed = unresolved.withColumn("_k", F.array_join(F.array_sort(person_tokens(F.col(name))), "-")).filter("_k <> ''")
     spelled = keyed.groupBy("_k", name).agg(F.count("*").alias("_n"), F.min(year).alias("_a"), F.max(year).alias("_b"))
     best = spelled.groupBy("_k").agg(F.max_by(name, F.struct("_n", name)).alias("canonical_name"), F.sum("_n").alias("count"), F.min("_a").alias("from"), F.max("_b").alias("to"))
-    clash = best.join(taken.select(F.col("id").alias("_k"), F.lit(True).alias("_taken")), "_k", "left")
-    return clash.select(F.when(F.col("_taken"), F.concat("_k", F.lit("-2"))).otherwise(F.col("_k")).alias("id"), "canonical_name", "count", "from", "to")
+    # the numbers that stand after each key already; the bare id counts as 1
+    numbers = taken.select(F.regexp_replace("id", r"-\d+$", "").alias("_k"), F.coalesce(F.regexp_extract("id", r"-(\d+)$", 1).try_cast("int"), F.lit(1)).alias("_u"))
+    used = numbers.groupBy("_k").agg(F.array_sort(F.collect_set("_u")).alias("_used"))
+    clash = best.join(used, "_k", "left")
+    held = F.array_contains("_used", 1)
+    free = F.array_min(F.array_except(F.sequence(F.lit(2), F.size("_used") + 2), F.col("_used")))
+    return clash.select(F.when(held, F.concat_ws("-", F.col("_k"), free)).otherwise(F.col("_k")).alias("id"), "canonical_name", "count", "from", "to")

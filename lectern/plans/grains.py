@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lectern.functions.text import committee_slug, safe_date
 
 SPEAKER = "struct<raw:string,name:string,title:string,role:string,party_group:string,person_id:string>"
-REFS = "array<struct<type:string,raw:string,prefix:string,number:string,year:int,name:string,char_offsets:array<int>>>"
+REFS = "array<struct<type:string,raw:string,prefix:string,number:string,year:int,name:string,char_offsets:array<int>,title:string,motion_kind:string,resolved_to:struct<char_offsets:array<int>>>>"
 SPAN = "struct<chars:array<int>,lines:array<int>,content_sha:string>"
 ACTIVITY = (
     f"struct<id:string,type:string,text:string,slug:string,content_fingerprint:string,delivery_mode:string,speaker:{SPEAKER},references_mentioned:{REFS},motion_text:string,motion_type:string,voting_method:string,"
