@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.functions import extract
+from lectern.functions import citations, extract
 
 TALK = """## **Domnul Ion Pop:**
 Supun votului ordinea de zi. Vă rog! 1.132 de voturi pentru, 5 voturi împotrivă, 2 abțineri. Cu majoritate de voturi, a fost aprobată.
@@ -17,9 +17,46 @@ Să înceapă votul! Mulțumesc."""
 
 def test_citations():
     text = "Pl-x 100/2018/2019 și L 3/2020; OUG nr. 5/2017, Legea 12/1850, Moțiunea simplă „Drumuri rele”, COM(2024) 45 final, Decizia CCR nr. 7/2015."
-    got = [(c["type"], c["prefix"], c["number"], c["year"]) for c in extract.citations_of(text)]
-    assert got == [("bill", "PL-x", "100", 2018), ("bill", "L", "3", 2020), ("oug", None, "5", 2017), ("unknown", None, "12", None), ("motion", None, None, None), ("eu_doc", "COM", "45", 2024), ("court_decision", None, "7", 2015)]
-    assert all(text[c["start"] : c["end"]] == c["raw"] for c in extract.citations_of(text))
+    got = [(c["type"], c["prefix"], c["number"], c["year"]) for c in citations.citations_of(text)]
+    assert got == [("bill", "PL-x", "100", 2018), ("bill", "L", "3", 2020), ("oug", None, "5", 2017), ("unknown", None, None, None), ("motion", None, None, None), ("eu_doc", "COM", "45", 2024), ("court_decision", None, "7", 2015)]
+    assert all(text[c["start"] : c["end"]] == c["raw"] for c in citations.citations_of(text))
+
+
+def test_citations_of_all_types():
+    cases = {
+        "PHCD nr. 12/2019": ("chamber_resolution", "12", 2019, {"chamber": "camera"}), "PHCDS 3/2020": ("chamber_resolution", "3", 2020, {"chamber": None}), "Hotărârea Parlamentului României nr. 4/2019": ("parliamentary_resolution", "4", 2019, {}),
+        "Ordonanța de urgență a Guvernului nr. 114/2018": ("oug", "114", 2018, {}), "ordonanţa Guvernului": None, "Ordonanța a Guvernului nr. 3/2011": ("og", "3", 2011, {}),
+        "Moțiunea de cenzură cu titlul „Guvernul pleacă”": ("motion", None, None, {"kind": "censure", "title": "Guvernul pleacă"}), "moțiunea simplă nr. 3/1850": ("motion", "3", None, {"kind": "simple"}),
+        "art. 53 alin. (2) din Constituția României": ("constitution", None, None, {"article": "53 alin. (2)"}), "Constituția României, art. 7": ("constitution", None, None, {"article": "7"}),
+        "art. 9 din Regulamentul Camerei Deputaților": ("regulation", None, None, {"chamber": "camera", "article": "9"}), "Regulamentul activităților comune ale Camerei": ("regulation", None, None, {"chamber": "joint"}), "Regulamentul Senatului": ("regulation", None, None, {"chamber": "senat"}),
+        "Regulamentul (UE) 2016/679": ("eu_doc", "679", 2016, {"kind": "regulation"}), "Directiva 2004/38/CE": ("eu_doc", "38", 2004, {"kind": "directive"}), "Decizia (UE) 2020/1": ("eu_doc", "1", 2020, {"kind": "decision"}),
+        "Tratatul de la Lisabona, care": ("treaty", None, None, {"name": "Lisabona"}), "Protocolul adițional semnat la Paris.": ("treaty", None, None, {"name": "semnat la Paris"}), "Carta Națiunilor Unite": ("treaty", None, None, {"name": "Națiunilor Unite"}),
+        "Codul de procedură penală art. 5": ("code", None, None, {"kind": "procedura_penala", "article": "5"}), "art. 12 din Codul muncii": ("code", None, None, {"kind": "muncii", "article": "12"}), "Codului insolvenței": ("code", None, None, {"kind": "insolventei"}),
+        "Decizia Curții Constituționale a României nr. 3/2014": ("court_decision", "3", 2014, {}), "Decizia CCR nr. 3/1800": ("unknown", None, None, {"hint": "court-ish"}), "L 5/1900": ("unknown", None, None, {"hint": "law-ish"}),
+    }
+    for text, want in cases.items():
+        got = citations.citations_of(text)
+        if want is None:
+            assert got == []
+            continue
+        kind, number, year, more = want
+        assert [(c["type"], c["number"] if kind != "unknown" else None, c["year"]) for c in got] == [(kind, number, year)], text
+        assert {k: got[0][k] for k in more} == more, text
+
+
+def test_subjects_and_procedures():
+    one = citations.citations_of("Pl-x 5/2019 pentru aprobarea Ordonanței despre drumuri, în procedură de urgență")[0]
+    assert (one["subject"], one["procedure"]) == ("Ordonanței despre drumuri", "procedură de urgență")
+    assert citations.citations_of("Legea 5/2019 asupra apelor privind râurile și lacurile")[0]["subject"] == "apelor privind râurile"
+    assert citations.citations_of("Legea 5/2019. Nimic")[0]["subject"] is None and citations.subject_after("", 0) is None
+
+
+def test_mentions():
+    text = "HG nr. 5/2000, art. 7 alin. (2) lit. b), art. 53 din Constituție, Decret-lege 3/1990, Decizia ICCJ, Hotărârea Guvernului nr. 7/2001, art. 4 din Codul penal, Legea 5/2010"
+    got = citations.mentions_of(text)
+    assert [(c["type"], c["raw"]) for c in got] == [("unknown", "HG nr. 5/2000"), ("unknown", "art. 7 alin. (2) lit. b)"), ("constitution", "art. 53 din Constituție"), ("unknown", "Decret-lege 3/1990"), ("unknown", "Decizia ICCJ"), ("unknown", "Hotărârea Guvernului nr. 7/2001"), ("code", "art. 4 din Codul penal"), ("law", "Legea 5/2010")]
+    assert [c["hint"] for c in got if c["type"] == "unknown"] == ["law-ish", "law-ish", "law-ish", "court-ish", "law-ish"]
+    assert all(text[c["start"] : c["end"]] == c["raw"] for c in got) and citations.mentions_of("") == []
 
 
 def test_votes_and_turns(spark):
@@ -32,7 +69,7 @@ def test_votes_and_turns(spark):
     turns = extract.turns_of(TALK)
     assert [(t["name"], t["role"]) for t in turns] == [("Domnul Ion Pop", None), ("Doamna Ana Rus", "ministru"), ("Domnul Dan Voicu", None)] and turns[-1]["end"] == len(TALK)
     df = spark.createDataFrame([(TALK,), (None,), ("no heads",)], "t string")
-    rows = df.select(F.size(extract.votes(F.col("t"))), F.size(extract.turns(F.col("t"))), F.size(extract.citations(F.col("t")))).collect()
+    rows = df.select(F.size(extract.votes(F.col("t"))), F.size(extract.turns(F.col("t"))), F.size(citations.citations(F.col("t")))).collect()
     assert [tuple(r) for r in rows] == [(4, 3, 0), (0, 0, 0), (0, 1, 0)]
 
 
