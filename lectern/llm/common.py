@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,11 @@ SLICE_CHARS = 4_000_000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder in spark.checkpoint.dir, which is set only where it is unset."""
+    """A fresh folder below the shared folder in spark.checkpoint.dir. Where that is unset, a local session gets a folder of its own; on a cluster it is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='lectern-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -134,11 +137,17 @@ def shingle_sets(texts: pa.Array, width: int = 5) -> list[np.ndarray]:
     return out
 
 
-def bounds_of(df: DataFrame, column: str, per_part: int) -> list[int]:
-    """Ascending quantiles of an integer column that cut the rows in parts of about so many."""
+def bounds_of(df: DataFrame, column: str, per_part: int, most: int = 1_000_000) -> list[int]:
+    """Ascending quantiles of an integer column that cut the rows in parts of about so many, from a sample by hash: 64 rows a part, `most` in all, which bounds what comes to the driver. The same rows give the same bounds."""
     n = df.count()
     parts = -(-n // per_part)
-    return sorted({int(x) for x in df.approxQuantile(column, [i / parts for i in range(1, parts)], 0.2 / parts)}) if parts > 1 else []
+    if parts < 2:
+        return []
+    cells = 1 << 40
+    share = min(1.0, 64 * parts / n, most / n)
+    drawn = df.filter(F.pmod(F.xxhash64(column, F.lit("bounds")), F.lit(cells)) < int(share * cells)).select(F.col(column).cast("long").alias("v")).filter("v is not null")
+    values = np.sort(drawn.toArrow()["v"].to_numpy())
+    return sorted({int(values[len(values) * i // parts]) for i in range(1, parts)}) if len(values) else []
 
 
 def part_of(column: Column, bounds: list[int]) -> Column:

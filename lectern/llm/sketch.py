@@ -139,7 +139,7 @@ def _by_run(keys, column, k):
     return run
 
 
-def compare_edited(docs: DataFrame, k: int = K, width: int = WIDTH, rows_per_part: int = 2000) -> DataFrame:
+def compare_edited(docs: DataFrame, k: int = K, width: int = WIDTH, rows_per_part: int = 8192) -> DataFrame:
     """Per document: the fingerprints of its text and of its edited text, and their likeness and that to the next document.
 
     The edited text has the last floor(n/2) code points replaced by the first as many of the next document by ascending doc_id (after the last: the first document). Null ids come first; equal ids are ordered by their text. An only document is its own next.
@@ -150,7 +150,8 @@ def compare_edited(docs: DataFrame, k: int = K, width: int = WIDTH, rows_per_par
     ids = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     bounds = common.bounds_of(ids.select("doc_id"), "doc_id", rows_per_part)
     placed = ids.withColumn("part", common.part_of(F.col("doc_id"), bounds))
-    firsts = sorted((r.part, r.first) for r in placed.groupBy("part").agg(F.min("doc_id").alias("first")).collect())  # one row a part
+    found = placed.groupBy("part").agg(F.min("doc_id").alias("first")).toArrow()  # one row a part
+    firsts = sorted(zip(found["part"].to_pylist(), found["first"].to_pylist(), strict=True))
     least = F.col("doc_id").isNull() if ids.filter("doc_id is null").limit(1).count() else F.col("doc_id") == (firsts[0][1] if firsts else 0)
     first = ids.filter(least).orderBy("text").limit(1).collect()  # one document, which follows the last one
     opening = first[0].text if first else ""
@@ -167,7 +168,7 @@ def compare_edited(docs: DataFrame, k: int = K, width: int = WIDTH, rows_per_par
     placed = placed.withColumn("own", F.col("part"))
     if len(heads):
         placed = placed.withColumn("part", F.explode(where("doc_id", "part")))
-    placed = placed.repartition(max(1, len(firsts)), "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "text")
+    placed = placed.repartitionById(max(1, len(bounds) + 1), F.col("part")).sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "text")
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
     def flush(rows):

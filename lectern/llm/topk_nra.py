@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 CHUNK = 8192
 QUERY_BLOCK = 512
-LEVELS = (0.1, 0.06, 0.04, 0.025, 0.015, 0.0)  # of the widest list's range
-LEFT = 64  # a block's candidates are few when one of so many is left
+LEVELS = (0.15, 0.05, 0.025, 0.0)  # of the widest list's range
+LEFT = 16  # a block's candidates are few when one of so many is left
 
 
 def quantised(vector: Column, scale: int = 1024) -> Column:

@@ -1,6 +1,6 @@
 """WARC archives: a deterministic sharded writer and a reader.
 
-Pages are range-partitioned by id and sorted, so that each task writes one shard. Records are gzip members; a file rolls when its compressed size reaches `roll_bytes`. Headers, record ids and digests are regenerated from the page's id, address and payload, so that a second run over the same shards gives the same bytes. A file is written under a temporary name and renamed; the shard's manifest rows, written by Spark's own committer, name the files that count. Archives go to the shared folder, through pyarrow's file systems where it is not a local path.
+Pages are range-partitioned by id and sorted, and each shard is one task's. Records are gzip members; a file rolls when its compressed size reaches `roll_bytes`. Headers, record ids and digests are regenerated from the page's id, address and payload, so that a second run over the same shards gives the same bytes. A file is written under a temporary name and renamed; the shard's manifest rows, written by Spark's own committer, name the files that count. Archives go to the shared folder, through pyarrow's file systems where it is not a local path.
 
 Of records with equal payloads of at least `least` bytes the one with the smallest page_id is a response and others are revisits of it; among rows with the same page_id the first in order is the response. Null html is an empty payload, a null url an empty address, a null page_id is kept as such (it comes first). An empty table gives no file. Line breaks in addresses are percent-encoded. Further columns are ignored.
 """
@@ -79,7 +79,7 @@ def write(pages: DataFrame, path: str, least: int = 0, roll_bytes: int = ROLL_BY
     bounds = common.bounds_of(rows, "page_id", rows_per_shard)
     told = decisions(rows, least).select("page_id", F.lit("").alias("url"), F.lit("").alias("payload"), "digest", F.lit(0).alias("row"), "refers_to")
     both = told.unionByName(rows.select("*", F.lit(None).cast("string").alias("digest"), F.lit(1).alias("row"), F.lit(None).cast("long").alias("refers_to")))
-    dealt = both.withColumn("shard", common.part_of(F.col("page_id"), bounds)).repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "row", "url", "payload")
+    dealt = both.withColumn("shard", common.part_of(F.col("page_id"), bounds)).repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "row", "url", "payload")
 
     def run(batches):
         shard, out, page, told, copies = None, None, object(), {}, Counter()
@@ -126,6 +126,8 @@ def write(pages: DataFrame, path: str, least: int = 0, roll_bytes: int = ROLL_BY
             data = b"".join(self.members)
             with store.open_output_stream(temporary) as f:
                 f.write(data)
+            if store.get_file_info(f"{root}/{name}").is_file:  # of a task that failed after this file; some stores don't rename onto a file
+                store.delete_file(f"{root}/{name}")
             store.move(temporary, f"{root}/{name}")
             self.done.append((self.number, name, len(self.members), len(data), hashlib.sha256(data).hexdigest()))
             self.members, self.size, self.part = [], 0, self.part + 1
@@ -162,15 +164,18 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the archives that the manifest names. `verified`: the block's digest holds, and the payload's where it is there."""
-    manifest = spark.read.schema(MANIFEST).parquet(f"{path}/_manifest")
+    """The records of the archives that the manifest names. `verified`: the block's digest holds, and the payload's where it is there. A file whose bytes or number of records aren't those of the manifest is an error."""
+    manifest = spark.read.schema(MANIFEST).parquet(f"{path}/_manifest").select("file", "records", "bytes", "sha256")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
 
     def run(batches):
         for batch in batches:
-            for name, content in zip(batch.column("file").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                out, size = [], 0
+            for name, content, records, length, digest_told in zip(*(batch.column(c).to_pylist() for c in ("file", "content", "records", "bytes", "sha256")), strict=True):
+                if len(content) != length or hashlib.sha256(content).hexdigest() != digest_told:
+                    raise ValueError(f"{name} is not the file that the manifest names")
+                out, size, seen = [], 0, 0
                 for raw in members(content):
+                    seen += 1
                     fields, block = parse(raw)
                     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                     good = base64.b32encode(hashlib.sha1(block).digest()).decode() == fields["WARC-Block-Digest"].removeprefix("sha1:")
@@ -186,13 +191,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                         out, size = [], 0
                 if out:
                     yield rows(out)
+                if seen != records:
+                    raise ValueError(f"{name} has {seen} records of {records}")
 
     def rows(out):
         names = [c.split()[0] for c in RECORDS.split(", ")]
         types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.bool_(), pa.string()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    return files.join(manifest.select("file"), "file", "left_semi").mapInArrow(run, RECORDS)
+    return files.join(manifest, "file").select("file", "content", "records", "bytes", "sha256").mapInArrow(run, RECORDS)
 
 
 def remove(path: str) -> None:

@@ -47,6 +47,21 @@ def test_warc_least_and_empty(spark, tmp_path):
     assert warc_writer.read(spark, f"file://{tmp_path}/e").count() == 0
 
 
+def test_warc_repeated_and_damaged_files(spark, tmp_path):
+    df = spark.createDataFrame([(i, "u", f"page {i}") for i in range(40)], "page_id long, url string, html string")
+    path = f"file://{tmp_path}/w"
+    for _ in range(2):  # files of a task that ran before are replaced
+        warc_writer.write(df, path, rows_per_shard=10)
+    files = sorted(glob.glob(f"{tmp_path}/w/*.warc.gz"))
+    assert len(files) > 1 and warc_writer.read(spark, path).count() == 40
+    whole = open(files[0], "rb").read()
+    for damaged in (whole[:-1], whole[:-9] + bytes(9), whole * 2):
+        with open(files[0], "wb") as f:
+            f.write(damaged)
+        with pytest.raises(Exception, match="is not the file that the manifest names"):
+            warc_writer.read(spark, path).count()
+
+
 def test_packing_ids_pieces_and_padding(spark):
     from tokenizers import Tokenizer
 
