@@ -13,10 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_CHARS = 4_000_000
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, most: int = SLICE_CHARS) -> None:
+    """Bounds the bytes of an Arrow batch where the session has no bound below the default, for long texts come in whole batches to workers and to the executor's buffers."""
+    if spark.conf.get(BATCH_BYTES, None) in (None, "67108864b"):
+        spark.conf.set(BATCH_BYTES, most)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder in spark.checkpoint.dir. Where that is unset, a local session gets a folder of its own; on a cluster it is an error."""
+    small_batches(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
@@ -46,6 +54,7 @@ def discard(df: DataFrame) -> None:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -323,6 +323,7 @@ def searched(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, hot: int = HOT, rounds: int = 2, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id that links reach) of each row."""
+    common.small_batches(docs.sparkSession)
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = source.count()
     rows = stored(prepared(source, long_lists(source, total, hot, width), width, percent), "sets")

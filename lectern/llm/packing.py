@@ -217,4 +217,5 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, tiers=TIERS, end_id
         encoder.known.clear()  # the worker lives on
         common.release()
 
+    common.small_batches(docs.sparkSession)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)

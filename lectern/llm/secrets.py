@@ -144,4 +144,5 @@ def redacted(text: Column, scope: int = SCOPE) -> Column:
 
 def scan_documents(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """doc_id and its spans."""
+    common.small_batches(docs.sparkSession)
     return docs.select("doc_id", spans(F.col("text"), scope).alias("found"))

@@ -147,6 +147,7 @@ def compare_edited(docs: DataFrame, k: int = K, width: int = WIDTH, rows_per_par
     Documents go once through a shuffle, to ranges of doc_id, sorted; the first id of each range is also dealt to the range before it, so that every document meets its next one.
     """
     spark = docs.sparkSession
+    common.small_batches(spark)
     ids = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     bounds = common.bounds_of(ids.select("doc_id"), "doc_id", rows_per_part)
     placed = ids.withColumn("part", common.part_of(F.col("doc_id"), bounds))

@@ -291,6 +291,7 @@ def sample(labels: DataFrame, label: str, allowed: Column, most: int = SAMPLE) -
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, most: int = SAMPLE) -> Model:
     """Fits to the labels that are allowed. One task gathers the bounded sample and trains, so that neither texts nor features come to the driver."""
+    common.small_batches(docs.sparkSession)
     ids, prior = sample(labels, "toxic", F.lit(True) if allowed is None else allowed, most)
 
     def run(batches):

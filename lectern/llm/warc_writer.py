@@ -75,6 +75,7 @@ def decisions(pages: DataFrame, least: int) -> DataFrame:
 def write(pages: DataFrame, path: str, least: int = 0, roll_bytes: int = ROLL_BYTES, rows_per_shard: int = ROWS_PER_SHARD) -> DataFrame:
     """Writes archives below a folder and returns the manifest."""
     spark = pages.sparkSession
+    common.small_batches(spark)
     rows = pages.select(pages["page_id"].cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("payload"))
     bounds = common.bounds_of(rows, "page_id", rows_per_shard)
     told = decisions(rows, least).select("page_id", F.lit("").alias("url"), F.lit("").alias("payload"), "digest", F.lit(0).alias("row"), "refers_to")
