@@ -111,6 +111,16 @@ def dominant(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return counts.withColumns({"share": F.col("count") / F.sum("count").over(w), "_r": rank}).filter("_r = 1").drop("_r")
 
 
+def by_year(df: DataFrame, day: str, value: str) -> DataFrame:
+    """Rows and the mean of a value per year."""
+    return df.groupBy(F.year(day).cast("long").alias("year")).agg(F.count("*").alias("n"), F.avg(value).alias("mean"))
+
+
+def profile(df: DataFrame, by: list[str], measures: list[str], counted: Column) -> DataFrame:
+    """Per group the rows, those that meet a condition, and the mean of each measure."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"), F.count_if(counted).alias("counted"), *(F.avg(m).alias(f"mean_{m}") for m in measures))
+
+
 def crosstab(df: DataFrame, row: str, column: str, values: list) -> DataFrame:
     return df.groupBy(row).pivot(column, values).count().na.fill(0)
 

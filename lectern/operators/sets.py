@@ -34,3 +34,8 @@ def merged_by_priority(df: DataFrame, key: Column, priority: str, fill: list[str
     rows = df.withColumn("_key", key)
     filled = rows.withColumns({c: F.coalesce(F.col(c), F.first(c, ignorenulls=True).over(whole)) for c in fill})
     return filled.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "_key")
+
+
+def shared_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Keys that both frames have, once each."""
+    return a.select(key).intersect(b.select(key))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,9 +13,13 @@ def sequence_within(df: DataFrame, keys: list[str], *order: Column, name: str =
 
 
 def suffixed(df: DataFrame, key: str, *order: Column, name: str = "unique_key") -> DataFrame:
-    """The key, with -2, -3 and so on from its second row on."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn(name, F.when(n > 1, F.concat_ws("-", F.col(key), n)).otherwise(F.col(key)))
+    """The key, with -2, -3 and so on from its second row on. Numbers that another row's key ends with are left out, so that no two are the same."""
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    ends = df.select(F.regexp_extract(key, r"^(.*)-(\d+)$", 1).alias("_k"), F.regexp_extract(key, r"^(.*)-(\d+)$", 2).try_cast("int").alias("_n")).filter("_n >= 2")
+    taken = ends.groupBy("_k").agg(F.array_sort(F.collect_set("_n")).alias("_taken"))
+    rows = df.withColumn("_nth", nth).join(taken, F.col(key) == F.col("_k"), "left")
+    free = F.aggregate(F.coalesce("_taken", F.array().cast("array<int>")), F.col("_nth"), lambda n, t: F.when(t <= n, n + 1).otherwise(n))
+    return rows.withColumn(name, F.when(F.col("_nth") > 1, F.concat_ws("-", F.col(key), free)).otherwise(F.col(key))).drop("_nth", "_k", "_taken")
 
 
 def next_boundary(df: DataFrame, keys: list[str], start: str, last: Column, name: str = "end") -> DataFrame:
@@ -110,16 +116,26 @@ def top_per(df: DataFrame, keys: list[str], n: int, *order: Column) -> DataFrame
     return df.withColumn("_r", rank).filter(F.col("_r") <= n).drop("_r")
 
 
-def bootstrap_ranks(df: DataFrame, ident: str, value: str, weight: str, replicates: int = 200, seed: int = 1, low: float = 0.025, high: float = 0.975) -> DataFrame:
-    """(id, low, high): percentiles of the rank of sum(value)/sum(weight) over bootstrap replicates. Rows get Poisson(1) weights by hash, so replicates need no second pass."""
-    import math
+#: Where a uniform draw makes a Poisson(1) count of 1, 2 and so on.
+POISSON = tuple(sum(math.exp(-1) / math.factorial(k) for k in range(n + 1)) for n in range(7))
+
+
+def resampled(df: DataFrame, row_id: str, replicates: int, seed: int = 1) -> DataFrame:
+    """Each row once per replicate `_b`, with `_t`, how often it is drawn: a Poisson(1) count by the md5 of seed, replicate and the row's id. Equal rows are drawn each by itself."""
+    rows = df.withColumn("_b", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    hexes = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_b").cast("string"), F.col(row_id).cast("string"))), 1, 8)
+    u = F.conv(hexes, 16, 10).cast("double") / float(1 << 32)
+    return rows.withColumn("_t", sum((F.when(u >= c, 1).otherwise(0) for c in POISSON), F.lit(0)))
 
-    u = F.pmod(F.xxhash64(ident, value, weight, "_b", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    cuts, total = [], 0.0
-    for k in range(7):
-        total += math.exp(-1) / math.factorial(k)
-        cuts.append(total)
-    times = sum((F.when(u >= c, 1).otherwise(0) for c in cuts), F.lit(0))
-    drawn = df.withColumn("_b", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("_t", times).groupBy("_b", ident).agg((F.sum(F.col(value) * F.col("_t")) / F.nullif(F.sum(F.col(weight) * F.col("_t")), F.lit(0))).alias("_rate"))
+
+def bootstrap_ranks(df: DataFrame, ident: str, value: str, weight: str, row_id: str, replicates: int = 1000, seed: int = 1, low: float = 0.025, high: float = 0.975) -> DataFrame:
+    """(id, low, high): percentiles of the rank of sum(value)/sum(weight) over bootstrap replicates. Replicates are made and summed where the rows are; one row per replicate and id is shuffled."""
+    drawn = resampled(df.select(ident, value, weight, row_id), row_id, replicates, seed).groupBy("_b", ident).agg((F.sum(F.col(value) * F.col("_t")) / F.nullif(F.sum(F.col(weight) * F.col("_t")), F.lit(0))).alias("_rate"))
     ranked = drawn.withColumn("_rank", F.rank().over(Window.partitionBy("_b").orderBy(F.desc_nulls_last("_rate"))))
     return ranked.groupBy(ident).agg(F.percentile("_rank", low).alias("low"), F.percentile("_rank", high).alias("high"))
+
+
+def per_tier(df: DataFrame, tiers: DataFrame, person: str, ident: str, n: int, seed: str = "s") -> DataFrame:
+    """The first n rows, in seeded order, of each person in a tier (tiers: person, tier); a row id counts once."""
+    one = df.join(tiers.select(F.col(person), "tier"), person).groupBy(ident).agg(F.min(F.struct("tier", person)).alias("_t")).select(ident, "_t.*")
+    return top_per(one, ["tier", person], n, draw(F.col(ident), seed), F.col(ident))

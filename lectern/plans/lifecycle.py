@@ -57,6 +57,54 @@ def grain_of(record_id: Column) -> Column:
     return out
 
 
+def index_one(rows: DataFrame, table: DataFrame, state: DataFrame, marks: list[str], key: str = "document_id", record: str = "record_id", force: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(table, state) after one run. Documents whose marks are those of the state are skipped; the rows of the others replace what the table has of them, so that records that are gone go too."""
+    due = changed(rows.select(key, *marks).distinct(), state, key, marks, force).select(key, *marks)
+    fresh = rows.join(due.select(key), key, "left_semi").drop(*[m for m in marks if m not in table.columns])
+    kept = table.join(due.select(key), key, "left_anti")
+    return kept.unionByName(fresh.select(*[c for c in fresh.columns if c in table.columns]), allowMissingColumns=True), upserted(state, due, [key])
+
+
+def versions_current(cached: Column, schema_version: Column, expected: dict[str, str], schema: str) -> Column:
+    """Whether a document was extracted by exactly these component versions and schema."""
+    pairs = lambda m: F.array_sort(F.map_entries(m))
+    want = F.create_map(*(F.lit(x) for kv in expected.items() for x in kv)) if expected else F.create_map().cast("map<string,string>")
+    return F.coalesce((schema_version == schema) & (pairs(cached) == pairs(want)), F.lit(False))
+
+
+def envelope(df: DataFrame, extractor: str, versions: dict[str, str], schema: str, at: str) -> DataFrame:
+    """Adds the provenance of an extraction: schema_version and extraction."""
+    marks = F.create_map(*(F.lit(x) for kv in versions.items() for x in kv))
+    return df.withColumns({"schema_version": F.lit(schema), "extraction": F.struct(F.lit(extractor).alias("extractor"), F.lit(at).alias("extracted_at"), marks.alias("extractor_versions"))})
+
+
+def restamped(items: DataFrame, parent: str, kind: str, *order: Column) -> DataFrame:
+    """Ids by place, anew: votes have a counter of their own within an item, everything else shares another."""
+    vote = F.col(kind) == "vote"
+    n = F.row_number().over(Window.partitionBy(parent, vote).orderBy(*order))
+    return items.withColumn("id", F.concat(F.col(parent), F.when(vote, "#vote-").otherwise("#act-"), n))
+
+
+def carried(rows: DataFrame, prior: DataFrame, record: str = "record_id", column: str = "slug") -> DataFrame:
+    """A column as it was minted before, by record; the new value where there was none."""
+    old = prior.select(record, F.col(column).alias("_old"))
+    return rows.join(old, record, "left").withColumn(column, F.coalesce(F.nullif("_old", F.lit("")), F.col(column))).drop("_old")
+
+
+def invalid(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Rows that break a rule, with the names of all rules they break; a rule that is null counts as kept."""
+    broken = F.array_compact(F.array(*(F.when(~c, F.lit(k)) for k, c in rules.items())))
+    return df.withColumn("errors", broken).filter(F.size("errors") > 0)
+
+
+def widened(old: DataFrame, new: DataFrame) -> list[str]:
+    """The columns that a table gains by a new frame. Changes of type are an error: schemas only grow."""
+    held = dict(old.dtypes)
+    if clash := {c: (held[c], t) for c, t in new.dtypes if c in held and held[c] != t}:
+        raise ValueError(f"types differ: {clash}")
+    return [c for c in new.columns if c not in held]
+
+
 class Generations:
     """Versions of a table as folders; a view of the table's name reads the live one."""
 
@@ -71,6 +119,15 @@ class Generations:
     def swap(self, name: str, suffix: str) -> None:
         self.spark.read.parquet(f"{self.root}/{name}/generation={suffix}").createOrReplaceTempView(name)
 
+    def bootstrap(self, frames: dict[str, DataFrame], suffix: str = "v1") -> dict[str, int]:
+        """Writes and serves a generation of each table that has none; gives the rows of all that are served."""
+        for name, df in frames.items():
+            held = self.listed(name)
+            if not held:
+                self.write(name, suffix, df)
+            self.swap(name, held[-1] if held else suffix)
+        return {name: self.spark.table(name).count() for name in frames}
+
     def listed(self, name: str) -> list[str]:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
@@ -83,4 +140,6 @@ class Generations:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-__all__ = ["Generations", "changed", "fetch_due", "grain_of", "latest_version", "lines_digest", "orphans", "row_digest", "upserted"]
+__all__ = [
+    "Generations", "carried", "changed", "envelope", "fetch_due", "grain_of", "index_one", "invalid", "latest_version", "lines_digest", "orphans", "restamped", "row_digest", "upserted", "versions_current", "widened",
+]

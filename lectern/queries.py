@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import rules, text
 from lectern.operators import aggregates, joins, sets, windows
-from lectern.plans import lifecycle, rankings, search
+from lectern.plans import lifecycle, named, rankings, search
 from lectern.sources import parsers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,12 +41,13 @@ def seconds(c: str):
 
 # ---- named queries
 
-@query("""SELECT coalesce(c_mktsegment, '(unknown)') AS party, year(o_orderdate) AS year, count(*) AS n, count(DISTINCT o_custkey) AS speakers
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice >= 1000 GROUP BY ALL""")
+@query("""SELECT coalesce(c_mktsegment, '(unknown)') AS party, year(o_orderdate) AS year, count(*) AS n, sum(count(*)) OVER (PARTITION BY coalesce(c_mktsegment, '(unknown)')) AS party_n
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice >= 1000 GROUP BY 1, 2""")
 def n12_by_party_year(spark, sf):
-    """Two-level buckets with distinct people, substantive rows only."""
-    rows = table(spark, sf, "orders").filter("o_totalprice >= 1000").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    return rows.groupBy(aggregates.known(F.col("c_mktsegment")).alias("party"), F.year("o_orderdate").cast("long").alias("year")).agg(F.count("*").alias("n"), F.countDistinct("o_custkey").alias("speakers"))
+    """Two-level buckets, substantive rows only."""
+    rows = table(spark, sf, "orders").join(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    out = named.run(named.Store({"speeches": flat_speeches(rows, "c_mktsegment")}), "agg_speeches_by_party_year").aggregations["party_year"]
+    return out.select(F.col("outer").alias("party"), F.col("inner").alias("year"), F.col("count").alias("n"), F.col("outer_count").alias("party_n"))
 
 
 @query("""WITH u AS (
@@ -62,22 +63,30 @@ def n3_document_children(spark, sf):
 
 @query("SELECT o_orderkey AS record_id, o_totalprice AS published FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1996-05-03' AND o_orderstatus = 'F' ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
 def n5_documents_by_date(spark, sf):
-    rows = table(spark, sf, "orders").filter("o_orderdate >= timestamp '1996-05-03' AND o_orderdate < timestamp '1996-05-04' AND o_orderstatus = 'F'")
-    return windows.paged(rows.select(F.col("o_orderkey").alias("record_id"), F.col("o_totalprice").alias("published")), [F.desc("published"), F.asc("record_id")])
+    docs = table(spark, sf, "orders").select(F.col("o_orderkey").alias("record_id"), F.col("o_totalprice").alias("published"), F.col("o_orderstatus").alias("chamber"), F.to_date("o_orderdate").alias("session_date"))
+    return named.run(named.Store({"documents": docs}), "list_documents_by_date", {"date": "1996-05-03", "chamber": "F"}).hits.select("record_id", "published")
 
 
-@query("SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id = 42")
+@query("SELECT doc_id AS record_id, lang, source, n_chars FROM documents WHERE doc_id = 42")
 def n4_point_lookup(spark, sf):
-    return table(spark, sf, "documents").filter("doc_id = 42").select("doc_id", "lang", "source", "n_chars").limit(1)
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("record_id"), "lang", "source", "n_chars")
+    return named.run(named.Store({"documents": docs}), "get_document", {"document_id": 42})
 
 
-@query("""SELECT 'chamber' AS facet, o_orderstatus AS key, count(*) AS count FROM orders WHERE o_custkey = 7 GROUP BY ALL
-UNION ALL SELECT 'year', CAST(year(o_orderdate) AS VARCHAR), count(*) FROM orders WHERE o_custkey = 7 GROUP BY ALL
-UNION ALL SELECT 'party', o_orderpriority, count(*) FROM orders WHERE o_custkey = 7 GROUP BY ALL""")
+def flat_speeches(orders: DataFrame, party: str) -> DataFrame:
+    """Orders as speeches of their customers."""
+    who = F.struct(F.col("o_custkey").cast("string").alias("person_id"), F.lit("").alias("name_search"), F.col(party).alias("party_group_at_time"))
+    return orders.select(F.col("o_orderkey").alias("record_id"), who.alias("speaker"), F.struct(F.array().cast("array<string>").alias("bills")).alias("refs"), (F.col("o_totalprice") >= 1000).alias("is_substantive"), F.col("o_orderstatus").alias("chamber"), F.year("o_orderdate").cast("long").alias("year"), F.to_date("o_orderdate").alias("session_date"))
+
+
+@query("""SELECT 'chamber' AS facet, o_orderstatus AS key, count(*) AS count FROM orders WHERE o_custkey = 7 AND o_totalprice >= 1000 GROUP BY ALL
+UNION ALL SELECT 'year', CAST(year(o_orderdate) AS VARCHAR), count(*) FROM orders WHERE o_custkey = 7 AND o_totalprice >= 1000 GROUP BY ALL
+UNION ALL SELECT 'party', o_orderpriority, count(*) FROM orders WHERE o_custkey = 7 AND o_totalprice >= 1000 GROUP BY ALL""")
 def n8_person_facets(spark, sf):
-    """A person's facets from one filtered scan, by grouping sets."""
-    rows = table(spark, sf, "orders").filter("o_custkey = 7").select(F.explode(F.array(F.struct(F.lit("chamber").alias("facet"), F.col("o_orderstatus").alias("key")), F.struct(F.lit("year").alias("facet"), F.year("o_orderdate").cast("string").alias("key")), F.struct(F.lit("party").alias("facet"), F.col("o_orderpriority").alias("key")))).alias("f")).select("f.*")
-    return rows.groupBy("facet", "key").agg(F.count("*").alias("count"))
+    """A person's facets."""
+    page = named.run(named.Store({"speeches": flat_speeches(table(spark, sf, "orders"), "o_orderpriority")}), "person_page", {"person_slug": "7"})
+    a, b, c = (page.aggregations[k].select(F.lit(k).alias("facet"), F.col("key").cast("string").alias("key"), "count") for k in ("chamber", "year", "party"))
+    return a.union(b).union(c)
 
 
 BM25_SQL = """
@@ -145,8 +154,8 @@ def f1_filter_bundle(spark, sf):
 
 @query("SELECT doc_id FROM documents WHERE lang IN ('fr', 'de') AND length(text) BETWEEN 100 AND 800")
 def f3_any_of(spark, sf):
-    rows = table(spark, sf, "documents").withColumn("topics", F.array("lang"))
-    return rows.filter(F.arrays_overlap("topics", F.array(F.lit("fr"), F.lit("de"))) & F.length("text").between(100, 800)).select("doc_id")
+    rows = table(spark, sf, "documents").select("doc_id", F.array("lang").alias("topics"), F.length("text").between(100, 800).alias("is_substantive"))
+    return search.filtered(rows, topics=["fr", "de"]).select("doc_id")
 
 
 # ---- text functions
@@ -166,11 +175,6 @@ def t12_preview(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.preview(F.col("text")).alias("preview"))
 
 
-@query(f"SELECT doc_id, translate(substr(text, 1, 300), '{text.MARKED}', '{text.PLAIN}') AS folded FROM documents")
-def t1_fold(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.fold(F.substring("text", 1, 300)).alias("folded"))
-
-
 @query(rf"SELECT doc_id, sha256(regexp_replace(translate(text, '{text.MARKED}', '{text.PLAIN}'), '[\x{{0300}}-\x{{036f}}\x{{fffd}}]', '', 'g')) AS folded_sha256 FROM documents")
 def t1_fold_whole(spark, sf):
     """The fold of whole texts, as a digest."""
@@ -192,21 +196,13 @@ def t10_overlap(spark, sf):
     return rows.select("p_partkey", text.overlap(F.col("a"), F.col("b")).alias("ratio"))
 
 
-@query(r"SELECT doc_id, 1 + length(substr(text, 1, 500)) - length(replace(substr(text, 1, 500), chr(10), '')) AS line FROM documents")
+@query(r"SELECT doc_id, 1 + length(substr(text, 1, n_chars // 2)) - length(replace(substr(text, 1, n_chars // 2), chr(10), '')) AS line FROM documents")
 def t13_line_number(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.line_of(F.col("text"), F.lit(500)).cast("long").alias("line"))
+    return table(spark, sf, "documents").select("doc_id", text.line_of(F.col("text"), F.floor(F.col("n_chars") / 2)).cast("long").alias("line"))
 
 
 # ---- sources
 
-@query(r"""WITH m AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>')) AS m FROM pages)
-SELECT page_id, regexp_extract(m, '<a href="([^"]*)">', 1) AS href, count(*) AS n FROM m GROUP BY ALL""")
-def s2_links(spark, sf):
-    found = F.explode(F.regexp_extract_all("html", F.lit(r'<a href="[^"]*">[^<]*</a>'), 0)).alias("m")
-    rows = table(spark, sf, "pages").select("page_id", found).select("page_id", F.regexp_extract("m", r'<a href="([^"]*)">', 1).alias("href"))
-    return rows.groupBy("page_id", "href").agg(F.count("*").alias("n"))
-
-
 @query(r"""WITH m AS (SELECT page_id, list_distinct(list_transform(regexp_extract_all(html, '<a href="/[^"]*">'), lambda x: regexp_extract(x, '"/([^"]*)"', 1))) AS l FROM pages)
 SELECT page_id, unnest(l) AS href FROM m""")
 def s2_first_links(spark, sf):
@@ -218,24 +214,14 @@ def s3_days(spark, sf):
     return parsers.days(spark, "2024-01-01", "2024-03-01", reverse=True).select(F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
-@query(r"SELECT doc_id, sha256(regexp_replace(regexp_replace(text, '[ \t]+(\n|$)', '\1', 'g'), '\n{3,}', chr(10) || chr(10), 'g')) AS cleaned FROM documents")
+@query(r"""SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?m)^\*\*==> picture \[[^\]]+\] intentionally omitted <==\*\*\s*\n', '', 'g'), '(?m)^\s*MONITORUL\s+OFICIAL\s+AL\s+ROM[ÂA]NIEI[^\n]*\n', '', 'g'),
+  '(?m)^\s*\d{1,3}\s*\n', '', 'g'), '([\p{L}\p{N}_])-\n([\p{L}\p{N}_])', '\1\2', 'g'), '(?m)[ \t]+$', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') || chr(10)) AS cleaned FROM documents""")
 def s7_clean(spark, sf):
-    t = F.regexp_replace(F.regexp_replace("text", r"[ \t]+(\n|$)", "$1"), r"\n{3,}", "\n\n")
-    return table(spark, sf, "documents").select("doc_id", F.sha2(t, 256).alias("cleaned"))
+    return table(spark, sf, "documents").select("doc_id", F.sha2(rules.clean_markdown(F.col("text")), 256).alias("cleaned"))
 
 
 # ---- joins
 
-@query("""WITH d AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, min_by(o_orderkey, struct_pack(p := CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, k := o_orderkey)) AS k FROM orders GROUP BY 1)
-SELECT l_orderkey, l_linenumber, d.k AS session FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate FROM lineitem WHERE l_partkey < 50) l LEFT JOIN d ON d.day = strftime(l_shipdate, '%Y-%m-%d')""")
-def j1_report_to_session(spark, sf):
-    """Date lookup, best priority and first seen of a day."""
-    orders = table(spark, sf, "orders").withColumn("day", day("o_orderdate"))
-    lines = table(spark, sf, "lineitem").filter("l_partkey < 50").select("l_orderkey", "l_linenumber", "l_shipdate").distinct().withColumn("day", day("l_shipdate"))
-    priority = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
-    return joins.dated_lookup(lines, orders, "day", priority, "o_orderkey", "o_orderkey", "session").select("l_orderkey", "l_linenumber", "session")
-
-
 @query("""WITH d AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, min_by(o_orderkey, struct_pack(p := CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, k := o_orderkey)) AS k FROM orders GROUP BY 1)
 SELECT l_orderkey, l_linenumber, d.k AS session FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate FROM lineitem) l LEFT JOIN d ON d.day = strftime(l_shipdate, '%Y-%m-%d')""")
 def j1_report_to_session_all(spark, sf):
@@ -287,18 +273,6 @@ def j8_lookup_cascade(spark, sf):
     return joins.lookup_cascade(probe, nation, "raw", "n_name", "n_nationkey", tiers).select("c_custkey", "match", "via")
 
 
-@query("""WITH r AS (SELECT DISTINCT p_type || ' ' || p_name || ' ' || p_brand AS raw FROM part), a AS (SELECT DISTINCT p_type || ' ' || split_part(p_name, ' ', 1) AS alias FROM part WHERE p_partkey < 40 UNION SELECT DISTINCT p_type FROM part),
-n AS (SELECT alias, row_number() OVER (ORDER BY alias) AS id FROM a)
-SELECT raw, max_by(n.id, length(n.alias)) AS match FROM r LEFT JOIN n ON r.raw = n.alias OR starts_with(r.raw, n.alias || ' ') GROUP BY raw""")
-def j9_longest_prefix(spark, sf):
-    from pyspark.sql import Window
-
-    part = table(spark, sf, "part")
-    raws = part.select(F.concat_ws(" ", "p_type", "p_name", "p_brand").alias("raw")).distinct()
-    alias = part.filter("p_partkey < 40").select(F.concat_ws(" ", "p_type", F.substring_index("p_name", " ", 1)).alias("alias")).union(part.select("p_type")).distinct()
-    return joins.longest_prefix(raws, alias.withColumn("id", F.row_number().over(Window.orderBy("alias")).cast("long")), "raw", "alias", "id").select("raw", "match")
-
-
 @query("""WITH r AS (SELECT DISTINCT p_type || ' ' || p_name || ' ' || p_brand AS raw FROM part), a AS (SELECT DISTINCT p_type || ' ' || split_part(p_name, ' ', 1) AS alias FROM part UNION SELECT DISTINCT p_type FROM part),
 n AS (SELECT alias, row_number() OVER (ORDER BY alias) AS id FROM a)
 SELECT raw, max_by(n.id, length(n.alias)) AS match FROM r LEFT JOIN n ON r.raw = n.alias OR starts_with(r.raw, n.alias || ' ') GROUP BY raw""")
@@ -414,12 +388,7 @@ def a27_crosstab(spark, sf):
 
 @query("SELECT year(o_orderdate) AS year, count(*) AS n, round(avg(o_totalprice), 6) AS mean FROM orders GROUP BY 1")
 def a28_date_histogram(spark, sf):
-    return table(spark, sf, "orders").groupBy(F.year("o_orderdate").cast("long").alias("year")).agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 6).alias("mean"))
-
-
-@query("SELECT o_custkey, round(avg(o_totalprice), 6) AS mean, count(*) AS n, count(*) FILTER (o_orderstatus = 'P') AS deferred FROM orders GROUP BY 1")
-def a29_profile(spark, sf):
-    return table(spark, sf, "orders").groupBy("o_custkey").agg(F.round(F.avg("o_totalprice"), 6).alias("mean"), F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") == "P").alias("deferred"))
+    return aggregates.by_year(table(spark, sf, "orders"), "o_orderdate", "o_totalprice").withColumn("mean", F.round("mean", 6))
 
 
 @query("""WITH c AS (SELECT user_id, event_type, count(*) AS count FROM events GROUP BY ALL)
@@ -510,18 +479,11 @@ def w15_top_per_speaker(spark, sf):
     return windows.top_per(table(spark, sf, "orders"), ["o_custkey"], 2, F.desc("o_totalprice"), F.col("o_orderkey")).select("o_custkey", "o_orderkey")
 
 
-@query()
-def w16_bootstrap(spark, sf):
-    """Rank intervals by resampling; SQL cannot give the same draws."""
-    rows = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select("source", "doc_id", "toxic", "n_chars")
-    return windows.bootstrap_ranks(rows, "source", "toxic", "n_chars", 100)
-
-
 # ---- sets
 
 @query("SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
 def u3_intersection(spark, sf):
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).intersect(table(spark, sf, "orders").filter("o_orderstatus = 'P'").select("o_custkey"))
+    return sets.shared_keys(table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("k")), "k")
 
 
 @query("""WITH a AS (SELECT doc_id FROM documents WHERE doc_id % 2 = 0), b AS (SELECT doc_id FROM labels)
@@ -539,26 +501,6 @@ def u6_roster_merge(spark, sf):
 
 # ---- nested projection
 
-@query("""SELECT o_orderkey AS record_id, count(l_linenumber) AS activities, count(*) FILTER (l_returnflag = 'R') AS votes, count(DISTINCT l_linestatus) AS outcomes, round(coalesce(sum(l_quantity), 0), 2) AS quantity
-FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""")
-def p3_agenda_items(spark, sf):
-    """Activities nested in their parent, then counted in place."""
-    acts = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(F.struct("l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")).alias("activities"))
-    rows = table(spark, sf, "orders").join(acts, "o_orderkey", "left")
-    n = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long")
-    return rows.select(F.col("o_orderkey").alias("record_id"), n(F.col("activities")).alias("activities"), n(F.filter("activities", lambda a: a["l_returnflag"] == "R")).alias("votes"), n(F.array_distinct(F.transform("activities", lambda a: a["l_linestatus"]))).alias("outcomes"), F.round(F.coalesce(F.aggregate("activities", F.lit(0.0), lambda s, a: s + a["l_quantity"]), F.lit(0.0)), 2).alias("quantity"))
-
-
-@query("""SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position_in_agenda, length(coalesce(text, '')) AS text_length, length(coalesce(text, '')) >= 100 AS is_substantive
-FROM conversations WHERE role = 'user'""")
-def p4_speeches(spark, sf):
-    """Turns nested per document, filtered, exploded again with their running position."""
-    nested = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("acts"))
-    rows = nested.select("conv_id", F.posexplode(F.filter("acts", lambda a: a["role"] == "user")).alias("at", "x"))
-    size = F.length(F.coalesce("x.text", F.lit("")))
-    return rows.select("conv_id", F.col("x.turn").alias("turn"), (F.col("at") + 1).cast("long").alias("position_in_agenda"), size.cast("long").alias("text_length"), (size >= 100).alias("is_substantive"))
-
-
 # ---- lifecycle
 
 @query("""SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0""")
@@ -621,11 +563,13 @@ def st_once_each(spark, sf):
 
 
 def _drained(spark, sf, build, mode) -> DataFrame:
-    import tempfile
     import uuid
 
+    from lectern.functions.session import shared_folder
     from lectern.streaming import streams
 
-    name = f"stream_{uuid.uuid4().hex}"
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lectern-")
-    return streams.drained(build(streams, streams.events(spark, f"{sf}/events.parquet")), name, f"{base}/{name}", mode)
+    path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    return streams.drained(build(streams, streams.events(spark, f"{sf}/events.parquet")), f"{path}/rows", f"{path}/checkpoint", mode)
+
+
+from lectern import grain_queries as _more  # noqa: E402,F401  registers its queries

@@ -183,16 +183,6 @@ def test_versions_generations_and_rosters(spark, tmp_path):
     assert all(r.g == r.x for r in days.select("g", lifecycle.grain_of(F.col("r")).alias("x")).collect())
 
 
-def test_rankings_run(spark):
-    marks = "array<struct<framework:string,kind:string,complete:boolean>>"
-    rows = [(f"r{i}", f"p{i % 3}", "X", f"20{16 + i % 8}-05-01", "floor" if i % 2 else "committee", 600, i % 3, 0.9, "first_person", [0.5, 1.0], [("fear", "threat", True), ("vparty", "anti_elite", False)]) for i in range(200)]
-    c = spark.createDataFrame(rows, f"record_id string, person_id string, party string, session_date string, context string, words int, hawkins int, confidence double, voice string, dqi array<double>, markers {marks}").withColumn("session_date", F.to_date("session_date"))
-    for name, ranking in rankings.RANKINGS.items():
-        assert ranking(c).count() > 0, name
-    top = rankings.RANKINGS["most_populist_politicians@v1"](c).orderBy("rank_rate").collect()
-    assert [round(r.per_kword, 4) for r in top] == [round(1000 / 600, 4), round(1000 / 600, 4), 0.0]
-
-
 def test_named_queries(spark, sidecars):
     from lectern.plans import named
 
