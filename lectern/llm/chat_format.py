@@ -4,7 +4,7 @@ The nested field paths of a layout, sorted and hashed, are its schema fingerprin
 
 The template writes `### role: text</turn>` and a newline per turn. Inside roles and texts a backslash, the closing mark and the heading mark are escaped with a backslash, and a colon in a role too, so that the output reads back exactly.
 
-Nulls: a null role or text is empty; rows without a conversation id form one conversation with a null id. Turns are ordered by turn (null first), then role and text, so repeated rows stay as repeated turns. An empty table gives no rows. Columns that a mapping doesn't name are ignored. An unknown layout raises an error for frames and gives null turns for JSON records.
+Nulls: a null role or text is empty; rows without a conversation id form one conversation with a null id. Turns are ordered by turn (null first), then role and text, so repeated rows stay as repeated turns. An empty table gives no rows. Columns and fields that no mapping names, nested ones too, are left out before hashing. An unknown layout raises an error for frames and gives null turns for JSON records; so does what is no JSON.
 """
 
 from __future__ import annotations
@@ -50,12 +50,13 @@ def fingerprint(paths: list[str]) -> str:
 
 
 FINGERPRINTS = {fingerprint(m["paths"]): name for name, m in MAPPINGS.items()}
+#: Paths that any layout has; others are left out before hashing.
+KNOWN = sorted({p for m in MAPPINGS.values() for p in m["paths"]})
 
 
 def layout_of(df: DataFrame, wanted: list[str] | None = None) -> str:
-    """The layout of a frame, by its fields or those wanted. Fields that no layout has are left out before hashing."""
-    known = {p.partition("[")[0] for m in MAPPINGS.values() for p in m["paths"]}
-    paths = [p for p in field_paths(df.schema) if (wanted is None or p.partition("[")[0].partition(".")[0] in wanted) and p.partition("[")[0].partition(".")[0] in known]
+    """The layout of a frame, by its nested field paths or those below the fields wanted."""
+    paths = [p for p in field_paths(df.schema) if p in KNOWN and (wanted is None or re.split(r"[.\[]", p)[0] in wanted)]
     name = FINGERPRINTS.get(fingerprint(paths))
     if name is None:
         raise ValueError(f"no mapping for the layout {sorted(paths)}")
@@ -78,25 +79,28 @@ def _mapped(mapping: dict, get) -> Column:
     """Turns by a mapping; get(path, type) reads a field of the record."""
     if "each" in mapping:
         array, role, text = mapping["each"]
-        return F.transform(get(array, f"array<struct<`{role}`:string,`{text}`:string>>"), lambda m: _turn(_role(m[role]), m[text]))
+        return F.transform(get(array, f"array<struct<`{role}`:string,`{text}`:string>>"), lambda m: _turn(_role(m[role].cast("string")), m[text]))
     return F.array(*(_turn(F.lit(role), F.array_join(F.filter(F.array(*(get(p, "string") for p in paths)), lambda x: x != ""), "\n")) for role, paths in mapping["fixed"]))
 
 
 def turns_of_frame(df: DataFrame) -> Column:
     """Canonical turns of a frame with one record a row."""
-    return _mapped(MAPPINGS[layout_of(df)], lambda p, kind: F.col(f"`{p}`").cast(kind))
+    return _mapped(MAPPINGS[layout_of(df)], lambda p, kind: F.col(f"`{p}`") if kind.startswith("array") else F.col(f"`{p}`").cast(kind))
 
 
 def json_fingerprint(record: Column) -> Column:
-    """The fingerprint of each JSON record, from its nested keys: of one level, and of the elements of one array of objects."""
+    """The fingerprint of each JSON record, from those of its nested field paths that any layout has. A path through an array is there if any element has it."""
     v = F.try_parse_json(record)
-    schema = F.schema_of_variant(v)
-    outer = F.regexp_replace(F.regexp_extract(schema, r"^OBJECT<(.*)>$", 1), r"ARRAY<[^<>]*(?:<[^<>]*>)?[^<>]*>", "ARRAY")
-    names = F.regexp_extract_all(outer, F.lit(r"(?:^|, )`?([A-Za-z0-9_]+)`?:"), 1)
-    array = F.regexp_extract(schema, r"`?([A-Za-z0-9_]+)`?: ARRAY<OBJECT<([^<>]*)>>", 1)
-    inner = F.regexp_extract_all(F.regexp_extract(schema, r": ARRAY<OBJECT<([^<>]*)>>", 1), F.lit(r"(?:^|, )`?([A-Za-z0-9_]+)`?:"), 1)
-    paths = F.array_union(names, F.transform(inner, lambda x: F.concat(array, F.lit("[]."), x)))
-    return F.sha2(F.array_join(F.array_sort(F.array_distinct(paths)), "\n"), 256)
+
+    def has(path: str) -> Column:
+        outer, inside, inner = path.partition("[].")
+        if not inside:
+            return F.try_variant_get(v, f"$.{outer}", "variant").isNotNull()
+        elements = F.try_variant_get(v, f"$.{outer}", "array<variant>")
+        return F.coalesce(F.exists(elements, lambda e: F.try_variant_get(e, f"$.{inner}", "variant").isNotNull()), F.lit(False))
+
+    there = F.array_compact(F.array(*(F.when(has(p), F.lit(p)) for p in KNOWN)))
+    return F.sha2(F.array_join(there, "\n"), 256)
 
 
 def turns_of_json(record: Column) -> Column:

@@ -1,4 +1,7 @@
-"""Connected components by alternating large-star and small-star steps, all on DataFrames."""
+"""Connected components by alternating large-star and small-star steps, all on DataFrames.
+
+Edges join two ids of 64 bits. Edges with a null end, loops and repeated edges count for nothing; no edges give no rows. A centre with many edges is one key of a join, which Spark's adaptive joins split.
+"""
 
 from __future__ import annotations
 
@@ -26,7 +29,7 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """(id, component) of all nodes of the edges (a, b) but the least of each component, whose component is itself. Each step is written to the shared folder."""
-    now = stored(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b").distinct(), "edges")
+    now = stored(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b").distinct(), "edges")  # nulls go too
     for _ in range(most):
         now = stored(_star(now, False), "edges")
         now = stored(_star(now, True), "edges")

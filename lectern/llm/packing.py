@@ -25,6 +25,8 @@ BUFFER_TOKENS = 1 << 21
 GROUP_SIZE = 8
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
+PROBES = ("a b", "The cat, the dog.", "one  two\n\nthree", "don't stop\tnow", "naïve señal e\u0301 \u00df", "x1 22 3.5 -- ...", " lead", "trail ", "\U0001f600 \U0001f600 ok", "A.B. c.d., e")
+
 _loaded: dict = {}
 _CACHED_WORDS = 400_000
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
@@ -51,6 +53,11 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.model = self.tokenizer.model
+        if self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
+            raise ValueError("ids beyond 65,535 don't fit; this packer takes vocabularies of 16 bits")
+        for probe in PROBES:  # texts whose words must not depend on each other or on the white space between them
+            if self._whole(probe) != b"".join(map(self._whole, probe.split())):
+                raise ValueError("this tokenizer joins words across white space, so words can't be encoded one by one")
         self.direct = all(self._whole(w) == self._plain(w) for w in ("word", "señaléß"))
 
     def _whole(self, word: str) -> bytes:

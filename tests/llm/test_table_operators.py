@@ -95,6 +95,21 @@ def test_packing_ids_pieces_and_padding(spark):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_packing_refuses_other_tokenizers(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    joins = Tokenizer(models.WordLevel({"<unk>": 0, "a b": 1, "a": 2, "b": 3}, "<unk>"))
+    large = Tokenizer(models.WordLevel({f"w{i}": i for i in range(70_000)}, "w0"))
+    large.pre_tokenizer = pre_tokenizers.Whitespace()
+    for name, tokenizer, why in (("joins", joins, "across white space"), ("large", large, "65,535")):
+        tokenizer.save(f"{tmp_path}/{name}.json")
+        with pytest.raises(ValueError, match=why):
+            packing.WordTokenizer(f"{tmp_path}/{name}.json")
+    assert json.load(open(f"{tmp_path}/joins.json"))["model"]
+
+
 def test_packing_groups_are_balanced():
     packer = packing.Packer(group_size=4)
     rng = np.random.default_rng(1)
@@ -213,6 +228,23 @@ def test_jaccard_classes_against_brute_force(spark, hot):
     assert got == brute_components(rows)
 
 
+def test_jaccard_beyond_the_bitmaps(spark, monkeypatch):
+    """More shared shingles than a bitmap tells apart: lists of single members stay, links are the same."""
+    rng = np.random.default_rng(21)
+    words = [f"w{i}" for i in range(50)]
+    rows = []
+    for g in range(30):
+        base = list(rng.choice(words, 60))
+        for c in range(4):
+            w = list(base)
+            w[int(rng.integers(60))] = f"e{g}_{c}"
+            rows.append((g * 4 + c, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "MOST_BITS", 12)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_classes(df, hot=2).collect())
+    assert got == brute_components(rows)
+
+
 def test_jaccard_edge_rows(spark):
     same = "a b c d e f g"
     rows = [(3, same), (3, "h i j k l m n"), (5, "h i j k l m n"), (1, same), (None, same), (7, None), (8, ""), (3, same)]
@@ -288,6 +320,8 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 180)] + [(500, 400)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 180)}, 500: 400}
+    odd = spark.createDataFrame([(1, None), (None, 2), (3, 3), (5, 4), (4, 5), (5, 4)], "a long, b long")
+    assert [tuple(r) for r in components.components(odd).collect()] == [(5, 4)] and components.components(odd.limit(0)).count() == 0
 
 
 def test_top_k_against_brute_force(spark):

@@ -45,11 +45,14 @@ def test_chat_layouts(spark):
         '{"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}',
         '{"instruction": "q", "input": "", "output": "a"}',
         '{"question": "q", "answer": "a"}',
+        '{"id": 1, "prompt": "q", "response": "a", "meta": {"prompt": {"deep": [1]}}}',
+        '{"messages": [{"role": "user", "content": "q", "name": "x", "tool_calls": [{"a": {"b": 1}}]}, {"role": "assistant", "content": "a"}], "odd key!": null}',
+        '{"turns": [{"role": "user", "text": "q"}, {"role": "bot", "text": "a", "at": 5}], "source": [[1, 2]]}',
     ]
-    df = spark.createDataFrame([(r,) for r in [*records, '{"other": 1}', "no json", None]], "r string")
+    df = spark.createDataFrame([(r,) for r in [*records, '{"other": 1}', "no json", None, '{"messages": "text"}', "[1, 2]", '{"prompt": "q"}']], "r string")
     got = [r.t for r in df.select(chat_format.turns_of_json(F.col("r")).alias("t")).collect()]
-    assert [[(t.role, t.text) for t in x] for x in got[:5]] == [want] * 5 and got[5:] == [None, None, None]
-    frame = spark.createDataFrame([([("user", "q"), ("assistant", "a")], 5)], "messages array<struct<role:string,content:string>>, extra long")
+    assert [[(t.role, t.text) for t in x] for x in got[:8]] == [want] * 8 and got[8:] == [None] * 6
+    frame = spark.createDataFrame([([("user", "q", 1), ("assistant", "a", 2)], 5)], "messages array<struct<role:string,content:string,weight:int>>, extra long")
     assert [(t.role, t.text) for t in frame.select(chat_format.turns_of_frame(frame).alias("t")).first().t] == want
     with pytest.raises(ValueError, match="no mapping"):
         chat_format.layout_of(spark.range(1))
