@@ -1,6 +1,8 @@
 """The document pipeline: toxic documents go, near duplicates fold to one, secrets are masked, sources are mixed, the rest is packed.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again for the next. All but the last return the columns of `documents`. No SQL expresses the trained first stage, so ORACLE_SQL is None; tests hold the stages against brute force.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again for the next. All but the last return the columns of `documents`. No SQL expresses the trained first stage, so ORACLE_SQL is None; tests hold every stage against a plain computation of its rows, and its operator against brute force.
+
+Rows with null columns pass through all stages: a null text is empty, a null id belongs to no class and no label. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ TEMPER = 0.9
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the threshold; the classifier learns from all labels."""
+    """Documents scored below the threshold; the classifier learns from all labels. Rows with equal texts have one fate; without both labels nothing goes unless most labels are toxic."""
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
     return docs.filter(model.score(F.col("text")) < toxicity.THRESHOLD)
 
@@ -31,17 +33,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every secret found replaced by its kind; n_chars follows."""
+    """All documents, with every secret found replaced by its kind; n_chars follows, a null text and its n_chars stay."""
     return docs.withColumn("text", secrets.redacted(F.col("text"))).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the raked probabilities draw, about a share mixing.BUDGET of the tokens."""
+    """The documents that the raked probabilities draw, about a share mixing.BUDGET of the tokens. Rows with one id are drawn together; null sources and languages are values of their own."""
     return mixing.mix(docs, temper=TEMPER, budget=mixing.BUDGET).filter("kept").select(docs.columns)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of packed sequences, with their token ids."""
+    """The pieces of packed sequences, with their token ids; every row is packed once, a null text as its end token."""
     return packing.pack(docs)
 
 

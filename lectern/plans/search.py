@@ -1,16 +1,17 @@
 """BM25, vector and fused search over frames.
 
-Term statistics are those of the whole table, whatever the filters. Postings of the query's terms alone are kept: texts are tokenised, terms that the query lacks go at once, and document lengths come from the same pass.
+Term statistics are those of the whole table, whatever the filters. Postings of the query's terms alone are kept: texts are tokenised once, terms that the query lacks go at once, and document lengths and counts come from the same pass.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.session import spread
+from lectern.functions.session import shared_folder, spread
 from lectern.functions.text import analyzed
 from lectern.operators.windows import page_bounds
 
@@ -28,6 +29,22 @@ def _times(array: str, word: str) -> Column:
     return F.size(F.filter(array, lambda t: t == word))
 
 
+def _counted(lists: DataFrame, fields: list[str], terms: int) -> DataFrame:
+    """The rows that hold a term, with their field's statistics. Texts are read once: the rows are written, and what is counted on the way comes with the job, a few numbers a field."""
+    spark = lists.sparkSession
+    own = lambda f, c: F.count_if((F.col("field") == f) & c)
+    counts = []
+    for k, f in enumerate(fields):
+        counts += [own(f, F.col("dl") > 0).alias(f"n_{k}"), F.coalesce(F.sum(F.when(F.col("field") == f, F.col("dl"))), F.lit(0)).alias(f"dl_{k}"), *(own(f, F.col(f"tf_{i}") > 0).alias(f"df_{k}_{i}") for i in range(terms))]
+    seen = Observation()
+    path = f"{shared_folder(spark)}/postings-{uuid.uuid4().hex}"
+    some = reduce(lambda a, b: a | b, (F.col(f"tf_{i}") > 0 for i in range(terms)))
+    lists.observe(seen, *counts).filter(some).write.parquet(path)
+    got = seen.get
+    stats = F.create_map(*(x for k, f in enumerate(fields) for x in (F.lit(f), F.struct(F.lit(got[f"n_{k}"]).alias("n"), F.lit(got[f"dl_{k}"] / got[f"n_{k}"] if got[f"n_{k}"] else 1.0).alias("avg_dl"), *(F.lit(got[f"df_{k}_{i}"]).alias(f"df_{i}") for i in range(terms))))))
+    return spark.read.schema(lists.schema).parquet(path).withColumn("_s", stats[F.col("field")]).select(*lists.columns, "_s.*")
+
+
 def bm25(df: DataFrame, ident: str, fields: dict[str, float], q: str, operator: str = "or") -> DataFrame:
     """(id, score): the best boosted field's sum over query terms; `and` asks that one field holds all terms."""
     wanted = query_terms(df, q)
@@ -35,8 +52,7 @@ def bm25(df: DataFrame, ident: str, fields: dict[str, float], q: str, operator:
         return df.select(ident, F.lit(0.0).alias("score"))
     lists = spread(df.select(ident, *fields)).select(ident, F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.lit(float(b)).alias("boost"), analyzed(F.coalesce(F.col(f), F.lit(""))).alias("t")) for f, b in fields.items()))).alias("x"))
     lists = lists.select(ident, "x.field", "x.boost", F.size("x.t").alias("dl"), *(_times("x.t", w).alias(f"tf_{i}") for i, w in enumerate(wanted)))
-    stats = lists.groupBy("field").agg(F.count_if(F.col("dl") > 0).alias("n"), F.avg(F.when(F.col("dl") > 0, F.col("dl"))).alias("avg_dl"), *(F.count_if(F.col(f"tf_{i}") > 0).alias(f"df_{i}") for i in range(len(wanted))))
-    rows = lists.join(F.broadcast(stats), "field")  # one row a field
+    rows = _counted(lists, list(fields), len(wanted))
 
     def part(i: int) -> Column:
         tf, df_ = F.col(f"tf_{i}"), F.col(f"df_{i}")
