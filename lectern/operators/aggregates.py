@@ -34,6 +34,19 @@ def coverage(df: DataFrame, by: list[Column], **conditions: Column) -> DataFrame
     return df.groupBy(*by).agg(*out)
 
 
+def coverage_of(frames: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """(grain, total, covered, pct) of frames under one condition each; 0 of no rows."""
+    from functools import reduce
+
+    one = [df.agg(F.count("*").alias("total"), F.count_if(c).alias("covered")).select(F.lit(name).alias("grain"), "*", F.when(F.col("total") > 0, 100.0 * F.col("covered") / F.col("total")).otherwise(0.0).alias("pct")) for name, (df, c) in frames.items()]
+    return reduce(DataFrame.union, one)
+
+
+def cardinality(df: DataFrame, c: str, exact: bool = False) -> DataFrame:
+    """(distinct, values): distinct values, by sketch unless exact, and values that are there."""
+    return df.agg((F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(c)).alias("distinct"), F.count(c).alias("values"))
+
+
 def agreement(pairs: DataFrame, a: str, b: str, by: list[str] | None = None) -> DataFrame:
     """Matches, total, rate, absolute difference in sum and mean over pairs without null, and the pairs with one."""
     both = F.col(a).isNotNull() & F.col(b).isNotNull()

@@ -52,6 +52,28 @@ def ministries(probe: DataFrame, aliases: DataFrame, raw: str = "raw") -> DataFr
     return named.withColumns({"match": F.coalesce("_m", "_i"), "via": F.coalesce("_v", F.when(F.col("_i").isNotNull(), "prefix"))}).drop("_f", "_m", "_v", "_hit", "_i")
 
 
+def addressees(probe: DataFrame, ministry_aliases: DataFrame, institution_aliases: DataFrame, raw: str = "raw") -> DataFrame:
+    """Adds (match, via): the ministry, else the institution."""
+    first = ministries(probe, ministry_aliases, raw).withColumnsRenamed({"match": "_mm", "via": "_mv"})
+    both = institutions(first, institution_aliases, raw)
+    return both.withColumns({"via": F.coalesce("_mv", "via"), "match": F.coalesce("_mm", "match")}).drop("_mm", "_mv")
+
+
+def speakers(docs: DataFrame) -> DataFrame:
+    """(document_id, year, path, raw, name, person_id) of every speaker that a body names: of activities, proposers, interpellations with their answers, questions and rosters."""
+    who = lambda path, s: F.struct(F.lit(path).alias("path"), s["raw"].alias("raw"), s["name"].alias("name"), s["person_id"].alias("person_id"))
+    some = lambda c: F.coalesce(c, F.array())
+    acts = F.flatten(F.transform(some(F.col("body.agenda_items")), lambda a: some(a["activities"])))
+    asked, questions = F.col("body.interpellations"), F.col("body.questions")
+    meetings = F.flatten(F.transform(some(F.col("body.committees")), lambda c: some(c["meetings"])))
+    lists = [
+        F.transform(acts, lambda a: F.when(a["speaker"].isNotNull(), who("activity", a["speaker"]))), F.transform(acts, lambda a: F.when(a["proposed_by"].isNotNull(), who("proposer", a["proposed_by"]))),
+        F.transform(some(asked), lambda q: F.when(q["questioner"].isNotNull(), who("questioner", q["questioner"]))), F.transform(some(asked), lambda q: F.when(q["response"]["speaker"].isNotNull(), who("response", q["response"]["speaker"]))),
+        F.transform(some(questions), lambda q: F.when(q["questioner"].isNotNull(), who("question", q["questioner"]))), F.flatten(F.transform(meetings, lambda m: F.transform(some(m["roster"]), lambda r: F.when(r["speaker"].isNotNull(), who("roster", r["speaker"]))))),
+    ]
+    return docs.select("document_id", F.col("metadata.year").alias("year"), F.explode(F.array_compact(F.concat(*lists))).alias("s")).select("document_id", "year", "s.*")
+
+
 def persons(probe: DataFrame, registry: DataFrame, raw: str = "raw", year: str = "year") -> DataFrame:
     """Adds (match, via). The name is peeled first; then it must equal a registered one as it is, but for case, or folded; else be the same set of two tokens or more; else differ by one edit in all.
 

@@ -573,3 +573,4 @@ def _drained(spark, sf, build, mode) -> DataFrame:
 
 
 from lectern import grain_queries as _more  # noqa: E402,F401  registers its queries
+from lectern import rule_queries as _rules  # noqa: E402,F401
