@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,20 +63,61 @@ def agreement(pairs: DataFrame, a: str, b: str, by: list[str] | None = None) ->
     )
 
 
+def order_statistics(df: DataFrame, c: str, ranks) -> tuple[int, dict[int, object]]:
+    """(n, {rank: value}) of the values that are there, ranks from 0; `ranks` gives the wanted ones for n. Values are dealt to sorted ranges, written, and counted per range, so that no task and not the driver holds more than a range or one number each."""
+    spark = df.sparkSession
+    from lectern.functions.session import settled
+
+    values = df.filter(F.col(c).isNotNull()).select(F.col(c).alias("_v"))
+    held = settled(values.repartitionByRange("_v").withColumn("_p", F.spark_partition_id()))
+    counts = sorted((r._p, r.n) for r in held.groupBy("_p").agg(F.count("*").alias("n")).collect())
+    n, before, places = sum(k for _, k in counts), 0, {}
+    wanted = sorted(set(ranks(n))) if n else []
+    for part, k in counts:
+        for r in wanted:
+            if before <= r < before + k:
+                places.setdefault(part, {})[r - before] = r
+        before += k
+    if not wanted:
+        return n, {}
+    at = F.row_number().over(Window.partitionBy("_p").orderBy("_v")) - 1
+    pairs = spark.createDataFrame([(p, i, r) for p, rows in places.items() for i, r in rows.items()], "_p int, _i int, _r long")
+    found = held.filter(F.col("_p").isin(*places)).withColumn("_i", at).join(F.broadcast(pairs), ["_p", "_i"])  # one row a rank
+    return n, {r._r: r._v for r in found.collect()}
+
+
 def percentile_linear(c: Column | str, p: float) -> Column:
-    """Interpolated between neighbours at (n - 1) p."""
+    """Interpolated between neighbours at (n - 1) p, for groups of bounded size."""
     return F.percentile(c, p)
 
 
+def percentiles_linear(df: DataFrame, c: str, ps: dict[str, float]) -> DataFrame:
+    """One row of percentiles of a whole column, interpolated between neighbours at (n - 1) p."""
+    n, held = order_statistics(df, c, lambda n: {int(k) for p in ps.values() for k in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
+
+    def value(p: float) -> float | None:
+        at = (n - 1) * p
+        low, high = math.floor(at), math.ceil(at)
+        return None if not n else float(held[low]) + (float(held[high]) - float(held[low])) * (at - low)
+
+    return df.sparkSession.createDataFrame([tuple(value(p) for p in ps.values())], ", ".join(f"`{k}` double" for k in ps))
+
+
 def percentile_index(df: DataFrame, c: str, qs: dict[str, float], by: list[str] | None = None) -> DataFrame:
-    """The sorted values at int(n q), without interpolation. One pass by rank within the group."""
-    w = Window.partitionBy(*(by or [F.lit(1)]))
-    ranked = df.filter(F.col(c).isNotNull()).select(*(by or []), c, F.row_number().over(w.orderBy(c)).alias("_r"), F.count("*").over(w).alias("_n"))
-    return ranked.groupBy(*(by or [])).agg(*(F.max(F.when(F.col("_r") == F.least(F.floor(F.col("_n") * q) + 1, F.col("_n")), F.col(c))).alias(name) for name, q in qs.items()))
+    """The sorted values at int(n q), without interpolation: of a whole column by ranges, of groups by rank."""
+    if not by:
+        rank = lambda n, q: min(int(math.floor(n * q)), n - 1)
+        n, held = order_statistics(df, c, lambda n: {rank(n, q) for q in qs.values()})
+        kind = df.schema[c].dataType.simpleString()
+        return df.sparkSession.createDataFrame([tuple(held[rank(n, q)] if n else None for q in qs.values())], ", ".join(f"`{k}` {kind}" for k in qs))
+    w = Window.partitionBy(*by)
+    ranked = df.filter(F.col(c).isNotNull()).select(*by, c, F.row_number().over(w.orderBy(c)).alias("_r"), F.count("*").over(w).alias("_n"))
+    return ranked.groupBy(*by).agg(*(F.max(F.when(F.col("_r") == F.least(F.floor(F.col("_n") * q) + 1, F.col("_n")), F.col(c))).alias(name) for name, q in qs.items()))
 
 
 def distribution(df: DataFrame, c: str, below: float) -> DataFrame:
-    return df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.percentile(c, 0.5).alias("median"), F.min(c).alias("least"), F.max(c).alias("most"), (F.count_if(F.col(c) < below) / F.count(c)).alias("share_below"))
+    one = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.min(c).alias("least"), F.max(c).alias("most"), (F.count_if(F.col(c) < below) / F.count(c)).alias("share_below"))
+    return one.join(percentiles_linear(df, c, {"median": 0.5}), F.lit(True)).select("n", "mean", "median", "least", "most", "share_below")  # one row each
 
 
 def histogram(df: DataFrame, c: str, edges: tuple[float, ...]) -> DataFrame:

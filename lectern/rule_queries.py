@@ -464,3 +464,43 @@ def n2_knn_search(spark, sf):
     rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("record_id"), F.col("embedding"), F.struct(F.lit("p").alias("person_id"), F.lit("n").alias("name_search"), F.lit("x").alias("party_group_at_time")).alias("speaker"), F.struct(F.array().cast("array<string>").alias("bills")).alias("refs"), F.lit(True).alias("is_substantive"))
     hits = named.run(named.Store({"speeches": rows}), "search_speeches_knn", {"query_vector": first, "page_size": 1}).hits
     return settled(hits.select(F.col("record_id").alias("vec_id")))
+
+
+# ---- streams, on what is there now
+
+def _stream(spark, sf):
+    import uuid
+
+    from lectern.functions.session import shared_folder
+    from lectern.streaming import streams
+
+    return streams.events(spark, f"{sf}/events.parquet"), f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+
+
+@query("SELECT user_id, arg_max(event_id, struct_pack(a := ts, b := event_id)) AS event_id FROM events GROUP BY 1")
+def st3_upserted(spark, sf):
+    """The last event of each user, upserted batch by batch."""
+    from lectern.streaming import streams
+
+    stream, path = _stream(spark, sf)
+    return streams.upsert_into(stream.select("user_id", "event_id", "ts"), f"{path}/state", ["user_id"], ["ts", "event_id"], f"{path}/checkpoint").select("user_id", "event_id")
+
+
+@query("SELECT event_id, value FROM events")
+def st5_journal(spark, sf):
+    from lectern.streaming import streams
+
+    stream, path = _stream(spark, sf)
+    return streams.journal(stream.select("event_id", "value"), f"{path}/rows", f"{path}/checkpoint")
+
+
+@query("""WITH v AS (SELECT user_id, CAST(event_id AS VARCHAR) AS d, ts, event_type = 'view' AS deferred FROM events), m AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM v),
+n AS (SELECT a.d, a.ts, (SELECT min(struct_pack(t := b.ts, d := b.d)) FROM v b WHERE b.user_id = a.user_id AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL 2 DAY) AS x FROM v a WHERE a.deferred)
+SELECT d AS document_id, CASE WHEN x IS NOT NULL AND x.t <= mark THEN x.d END AS defers_to FROM n, m WHERE (x IS NOT NULL AND epoch_ms(x.t) <= epoch_ms(mark)) OR (epoch_ms(ts + INTERVAL 2 DAY) < epoch_ms(mark) AND (x IS NULL OR epoch_ms(x.t) > epoch_ms(mark)))""")
+def st4_waiting(spark, sf):
+    """Views wait up to two days for the user's next event."""
+    from lectern.streaming import streams
+
+    stream, path = _stream(spark, sf)
+    votes = stream.select(F.col("user_id").cast("string").alias("match_key"), F.col("event_id").cast("string").alias("document_id"), F.col("ts").alias("at"), F.when(F.col("event_type") == "view", "deferred").otherwise("approved").alias("outcome"))
+    return streams.drained(streams.waiting(votes, days=2), f"{path}/rows", f"{path}/checkpoint", "append").select("document_id", "defers_to")
