@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import stored
+from lectern.llm.common import discard, stored
 
 
 def _star(edges: DataFrame, small: bool) -> DataFrame:
@@ -31,8 +31,9 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """(id, component) of all nodes of the edges (a, b) but the least of each component, whose component is itself. Each step is written to the shared folder."""
     now = stored(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b").distinct(), "edges")  # nulls go too
     for _ in range(most):
-        now = stored(_star(now, False), "edges")
-        now = stored(_star(now, True), "edges")
+        for small in (False, True):
+            before, now = now, stored(_star(now, small), "edges")
+            discard(before)
         # when no centre hangs on another one, every component is a star
         if not now.join(now.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count():
             return now.select(F.col("a").alias("id"), F.col("b").alias("component"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import stored
+from lectern.llm.common import discard, stored
 
 MARGINALS = ("source", "lang", "topic")
 TEMPER = 0.8
@@ -70,15 +70,29 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     for m, shares in targets.items():
         goal = shares.select(F.col("value").alias("_v"), (F.col("share") * F.lit(total)).alias(f"goal_{m}"))
         now = now.join(goal, now[m].eqNullSafe(goal["_v"])).drop("_v")
-    now = stored(now, "goals")
+    held = now = stored(now, "goals")
     for k in range(rounds):
         for m in targets:
             sums = now.groupBy(F.col(m).alias("_v")).agg(F.sum("weight").alias("_s"))
             now = now.join(sums, now[m].eqNullSafe(sums["_v"])).withColumn("weight", F.col("weight") * F.col(f"goal_{m}") / F.col("_s")).drop("_v", "_s")
         now = stored(now, f"rake-{k}")
+        discard(held)
+        held = now
     return now
 
 
+def marginals(mixed: DataFrame, targets: dict[str, dict] | None = None, temper: float = TEMPER) -> DataFrame:
+    """(marginal, value, target, reached): the share of each value that was aimed at, and that of the tokens that the probabilities let one expect. They differ where raking has not settled or probabilities stop at a bound."""
+    cells = mixed.groupBy(*MARGINALS).agg(F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("probability")).alias("_kept"))
+    whole = cells.agg(F.sum("_kept")).first()[0] or 1.0
+    parts = []
+    for m in MARGINALS:
+        aim = targets_of(cells, m, (targets or {}).get(m), temper)
+        got = cells.groupBy(F.col(m).alias("_v")).agg((F.sum("_kept") / F.lit(whole)).alias("reached"))
+        parts.append(aim.join(got, aim["value"].eqNullSafe(got["_v"])).select(F.lit(m).alias("marginal"), "value", F.col("share").alias("target"), "reached"))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 def factor_of(raked: DataFrame, budget: float) -> float:
     """The factor on ratios at which probabilities of at most one keep a share `budget` of the tokens. Each step fits the cells below one to what those at one leave; the set at one only grows, so the last step is exact."""
     size = F.col("ratio") * F.col("tokens")

@@ -178,6 +178,16 @@ def test_mixing_keeps_its_budget_beside_a_rare_source(spark):
     assert mixing.mix(spark.createDataFrame([], "doc_id long, source string, lang string, text string"), budget=0.6).count() == 0
 
 
+def test_mixing_meets_its_marginals(spark):
+    rng = np.random.default_rng(31)
+    rows = [(i, f"s{min(int(rng.exponential(1.2)), 3)}", str(rng.choice(["en", "de", "fr"], p=[0.7, 0.2, 0.1])), "word " * int(rng.integers(20, 90))) for i in range(3000)]
+    docs = spark.createDataFrame([*rows, (3000, None, None, None)], "doc_id long, source string, lang string, text string")
+    goals = {"lang": {"en": 0.5, "de": 0.3}}
+    met = mixing.marginals(mixing.mix(docs, goals, rounds=20, budget=0.3), goals).collect()
+    assert all(abs(r.target - r.reached) < 2e-3 for r in met) and {r.marginal for r in met} == set(mixing.MARGINALS)
+    assert abs(next(r.reached for r in met if r.value == "en") - 0.5) < 2e-3
+
+
 def test_mixing_budget_against_sql(spark):
     import duckdb
 
