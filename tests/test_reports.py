@@ -113,7 +113,8 @@ def test_rankings_against_loops(spark):
     c = spark.createDataFrame(rows, f"record_id string, person_id string, party string, cycle string, session_date date, context string, words int, hawkins int, confidence double, voice string, dqi {dqi}, markers {marks}, econ double, cultural double, party_econ double, party_cultural double")
     registry = spark.createDataFrame([("party0", "2010-01-01", 1.0), ("party1", "2010-01-01", 0.0), ("party1", "2020-01-01", 2.0)], "party string, cycle string, value double")
     for name, ranking in rankings.RANKINGS.items():
-        assert (ranking(c, registry) if name == "party_manifesto_divergence@v1" else ranking(c)).count() > 0, name
+        more = {"party_manifesto_divergence@v1": {"registry": registry}, "speeches_with_marker@v1": {"kind": "media_hostility"}}.get(name, {})
+        assert ranking(c, **more).count() > 0, name
     mine = [r for r in rows if r[1] == "p1"]
     fear = rankings.RANKINGS["most_fearmongering@v1"](c).filter("person_id = 'p1'").first()
     assert (fear.total, fear.invasion, fear.enemy_within) == (sum(i % 3 for i in range(1, 120, 4)), sum(i % 3 for i in range(1, 120, 4)), 0)
