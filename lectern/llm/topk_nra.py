@@ -33,6 +33,7 @@ class Lists:
         self.order = np.argsort(self.X, axis=0, kind="stable").T.copy()
         self.values = np.take_along_axis(self.X.T, self.order, axis=1).astype(np.float64)
         self.most = float(np.abs(self.X.astype(np.float64)).max(initial=0))
+        self.unread = np.ones(self.X.T.shape, np.float32)  # one for all queries, made anew for each
         self.read, self.finished = 0, 0  # entries read before the steps ended, and candidates left then
 
     def search(self, q: np.ndarray, own: int, k: int, best: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -47,7 +48,8 @@ class Lists:
         high = np.where(weights > 0, self.values[:, -1], self.values[:, 0]) * weights
         widest = float((high - low).max(initial=0))
         partial = np.full(m, low.sum())  # what was read, above the least of each list
-        unread = np.ones((d, m), np.float32)
+        unread = self.unread
+        unread.fill(1)
         depth = np.zeros(d, np.int64)
         alive = np.flatnonzero(self.ids != own)
         earlier = np.array([-s for s, _ in best], np.float64)
@@ -56,25 +58,21 @@ class Lists:
             if len(alive) <= max(2 * k, m // LEFT):
                 break
             gap = level * widest
-            ids, add = [], []
-            for j in active:
+            for j in active.tolist():
                 w, values = weights[j], self.values[j]
                 # entries whose contribution exceeds the least by more than the gap
                 if w > 0:
-                    to = m - int(np.searchsorted(values, (low[j] + gap) / w, side="right"))
+                    to = m - int(values.searchsorted((low[j] + gap) / w, side="right"))
                     new = slice(m - to, m - depth[j])
                 else:
-                    to = int(np.searchsorted(values, (low[j] + gap) / w, side="left"))
+                    to = int(values.searchsorted((low[j] + gap) / w, side="left"))
                     new = slice(depth[j], to)
                 if to > depth[j]:
-                    rows = self.order[j, new]
-                    unread[j, rows] = 0
-                    ids.append(rows)
-                    add.append(values[new] * w - low[j])
+                    rows = self.order[j, new]  # each candidate once
+                    unread[j][rows] = 0
+                    partial[rows] += values[new] * w - low[j]
                     depth[j] = to
                 frontier[j] = 0.0 if depth[j] == m else values[m - depth[j] - 1 if w > 0 else depth[j]] * w - low[j]
-            if ids:
-                partial += np.bincount(np.concatenate(ids), np.concatenate(add), m)
             lower = partial[alive]
             upper = lower + (frontier.astype(np.float32) @ unread)[alive] * (1 + 1e-5) + 1.0  # above what single precision may lose
             both = np.concatenate([earlier, lower])
@@ -161,7 +159,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, scale: int = 1024, c
                     for at in range(0, b - a, chunk):
                         held.append((ids[a + at : min(b, a + at + chunk)], parts[at : at + chunk]))
                         size += len(held[-1][0])
-                        if size >= 2 * chunk:
+                        if size >= chunk:
                             consume()
         yield from finish()
 
