@@ -8,10 +8,11 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm import components, mixing, ngram_join, occurrence, packing, topk_nra, warc_writer
+from lectern.llm import components, mixing, ngram_join, occurrence, packing, topk_nra, toxicity, warc_writer
 from tests.llm.test_text_operators import ODD, shingles
 
 
@@ -383,6 +384,12 @@ def test_pipeline_stages(spark):
     clean = stages["toxicity"](spark, docs, sf)
     assert clean.columns == docs.columns and 0.5 * docs.count() < clean.count() <= docs.count()
     rows = [(r.doc_id, r.text) for r in docs.collect()]
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    texts = {i: t or "" for i, t in rows}
+    known = sorted(i for i in labels if i in texts)
+    model = toxicity.train([texts[i] for i in known], np.array([labels[i] for i in known]), float(np.mean(list(labels.values()))))
+    scores = model.scores(pa.array([t or "" for _, t in rows]))
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(i for (i, _), s in zip(rows, scores, strict=True) if s < toxicity.THRESHOLD)
     kept = stages["ngram_join"](spark, docs, sf)
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in brute_components(rows)})
     odd = spark.createDataFrame([(None, None, None, None, None), (None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, "password = 'abcdefghijkl'", "en", "s", 3)], docs.schema)
