@@ -55,14 +55,15 @@ def as_of(probe: DataFrame, build: DataFrame, key: str, at: str, build_at: str,
 
 
 def lookup_cascade(probe: DataFrame, aliases: DataFrame, raw: str, alias: str, ident: str, tiers: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """Adds (match, via): tiers are tried in order, each an equi-join of a derived key; in a tier the alias that was registered first wins (column seq)."""
-    out = probe.withColumns({"match": F.lit(None).cast(aliases.schema[ident].dataType), "via": F.lit(None).cast("string")})
+    """Adds (match, via): tiers are tried in order, each an equi-join of a derived key; in a tier the alias that was registered first wins (column seq). Every spelling is looked up once, whatever the number of rows that have it; null matches nothing."""
+    out = probe.select(raw).filter(F.col(raw).isNotNull()).distinct().withColumns({"match": F.lit(None).cast(aliases.schema[ident].dataType), "via": F.lit(None).cast("string")})
     for name, (probe_key, alias_key) in tiers.items():
         table = aliases.withColumn("_key", alias_key).filter("_key is not null").groupBy("_key").agg(F.min(F.struct("seq", F.col(ident).alias("_id")))["_id"].alias("_id"))
         out = out.withColumn("_probe", probe_key)
         out = out.join(table, out["_probe"] == table["_key"], "left")
         out = out.withColumns({"via": F.when(F.col("match").isNull() & F.col("_id").isNotNull(), name).otherwise(F.col("via")), "match": F.coalesce("match", "_id")}).drop("_probe", "_key", "_id")
-    return out
+    found = out.select(F.col(raw).alias("_raw"), "match", "via")
+    return probe.join(found, probe[raw] == found["_raw"], "left").drop("_raw")
 
 
 def longest_prefix(probe: DataFrame, aliases: DataFrame, raw: str, alias: str, ident: str) -> DataFrame:

@@ -504,3 +504,34 @@ def st4_waiting(spark, sf):
     stream, path = _stream(spark, sf)
     votes = stream.select(F.col("user_id").cast("string").alias("match_key"), F.col("event_id").cast("string").alias("document_id"), F.col("ts").alias("at"), F.when(F.col("event_type") == "view", "deferred").otherwise("approved").alias("outcome"))
     return streams.drained(streams.waiting(votes, days=2), f"{path}/rows", f"{path}/checkpoint", "append").select("document_id", "defers_to")
+
+
+# ---- sources, continued
+
+@query("SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS number, '/Monitorul-Oficial--PII--' || p_partkey || '--2019.html' AS href FROM part")
+def s2_issues(spark, sf):
+    """Of two links to one issue the first; links to other parts don't count."""
+    link = lambda part, n: cat('<a href="/Monitorul-Oficial--P', part, "--", n, '--2019.html">x</a>')
+    n = F.col("p_partkey")
+    rows = made(table(spark, sf, "part"), "p_partkey", html=cat(link("I", n), link("II", n), " text ", link("II", n)))
+    return parsers.issues(rows, key="p_partkey").select("p_partkey", "number", "href")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN user_id END AS number, CASE WHEN event_id % 4 = 1 THEN '2019-02-03' END AS day, CASE event_id % 4 WHEN 2 THEN 'a\"b' WHEN 3 THEN '2019-02-31' END AS text FROM events")
+def s10_typed_values(spark, sf):
+    k = F.col("event_id") % 4
+    raw = F.when(k == 0, F.col("user_id").cast("string")).when(k == 1, " 2019-02-03 ").when(k == 2, '"a\\"b"').otherwise("2019-02-31")
+    rows = made(events(spark, sf), "event_id", raw=raw).select("event_id", parsers.typed(F.col("raw")).alias("v"))
+    return rows.select("event_id", "v.number", F.date_format("v.day", "yyyy-MM-dd").alias("day"), "v.text")
+
+
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'topics' WHEN 1 THEN 'embedding,embedding_text_fingerprint' ELSE '' END AS names, CASE WHEN event_id % 3 = 0 THEN '[\"a\"]' WHEN event_id % 3 = 1 THEN 'f' || event_id END AS first FROM events")
+def p17_enrichments(spark, sf):
+    """A lone key stands for its producer, an embedding is taken apart, unknown producers go."""
+    k = F.col("event_id") % 3
+    producer = F.when(k == 0, "topics").when(k == 1, "embedding").otherwise("other")
+    payload = F.when(k == 0, '{"_meta": {"v": 1}, "topics": ["a"]}').when(k == 1, cat('{"vector": [1.0], "text_fingerprint": "f', F.col("event_id"), '"}')).otherwise('{"x": 1}')
+    rows = made(events(spark, sf), "event_id", p=producer, j=payload)
+    flat = parsers.flat_enrichment(F.col("p"), F.col("j"), ["topics", "embedding", "embedding_text_fingerprint"])
+    out = rows.select("event_id", flat.alias("m"))
+    return out.select("event_id", F.array_join(F.array_sort(F.map_keys("m")), ",").alias("names"), F.coalesce(F.col("m")["topics"], F.col("m")["embedding_text_fingerprint"]).alias("first"))

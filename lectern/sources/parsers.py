@@ -63,3 +63,42 @@ def enrichments(files: DataFrame, content_sha: DataFrame | None = None) -> DataF
     if content_sha is not None:
         rows = rows.join(content_sha.withColumnRenamed("content_sha", "_c"), "base", "left").filter("sha is null or sha = _c").drop("_c")
     return rows.drop("sha")
+
+
+# A link to an issue's file.
+ISSUE = r'href="(/Monitorul-Oficial--P([IVXM]+)--([0-9A-Za-z]+)--(\d{4})\.html)"'
+
+
+def issues(pages: DataFrame, html: str = "html", part: str = "II", pattern: str = ISSUE, key: str = "page_id") -> DataFrame:
+    """(key, href, part, number, year) of links to issues of a part, the first of each number and year per page. The pattern's groups are href, part, number and year."""
+    found = pages.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(pattern), 0)).alias("at", "_m"))
+    get = lambda g: F.regexp_extract("_m", pattern, g)
+    rows = found.select(key, "at", get(1).alias("href"), get(2).alias("part"), get(3).alias("number"), get(4).try_cast("int").alias("year")).filter(F.col("part") == part)
+    return rows.groupBy(key, "part", "number", "year").agg(F.min_by("href", "at").alias("href")).select(key, "href", "part", "number", "year")
+
+
+def typed(value: Column) -> Column:
+    """(number, day, text) of a frontmatter value: a whole number, a date, or else text, without quotes and with its escapes undone; all null where it is empty."""
+    raw = F.nullif(F.trim(value), F.lit(""))
+    quoted = raw.rlike(r"""^(?s)(".*"|'.*')$""") & (F.length(raw) > 1)
+    bare = F.replace(F.replace(F.substring(raw, F.lit(2), F.length(raw) - 2), F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
+    number = F.when(~quoted & raw.rlike(r"^-?\d+$"), raw.try_cast("long"))
+    day = F.when(~quoted & raw.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(raw, "yyyy-MM-dd"))
+    return F.struct(number.alias("number"), day.alias("day"), F.when(quoted, bare).when(number.isNull() & day.isNull(), raw).alias("text"))
+
+
+def collected(spark: SparkSession, paths: list[str], suffix: str = ".pdf", reverse: bool = False) -> DataFrame:
+    """(path) of the files with a suffix under files and folders, each once, in order of their names."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", False).load(paths).select("path").distinct()
+    name = F.element_at(F.split("path", "/"), -1)
+    return files.orderBy(name.desc() if reverse else name, "path")
+
+
+def flat_enrichment(producer: Column, payload: Column, allowed: list[str]) -> Column:
+    """What an entry of a producer adds to a record, as a map of names to JSON: without its provenance; an only key that is named like the producer stands for the whole; an embedding becomes vector and fingerprint. Only allowed names stay."""
+    fields = F.map_filter(F.from_json(payload, "map<string,string>"), lambda k, v: (k != "_meta") & v.isNotNull())
+    alone = (F.size(fields) == 1) & F.map_contains_key(fields, producer)
+    embedding = F.map_filter(F.create_map(F.lit("embedding"), fields["vector"], F.lit("embedding_text_fingerprint"), fields["text_fingerprint"]), lambda k, v: v.isNotNull())
+    plain = F.create_map(producer, F.when(alone, fields[producer]).otherwise(F.to_json(fields)))
+    out = F.when(fields.isNull(), F.create_map(producer, payload)).when((producer == "embedding") & F.map_contains_key(fields, F.lit("vector")), embedding).otherwise(plain)
+    return F.map_filter(out, lambda k, v: k.isin(*allowed))

@@ -209,6 +209,14 @@ def test_named_queries(spark, sidecars):
         named.run(store, "nope")
 
 
+def test_files_are_collected_once(spark, tmp_path):
+    for name in ("b.pdf", "a.pdf", "c.txt"):
+        (tmp_path / name).write_bytes(b"x")
+    paths = [f"file://{tmp_path}", f"file://{tmp_path}/a.pdf"]
+    assert [r.path.rsplit("/", 1)[1] for r in parsers.collected(spark, paths).collect()] == ["a.pdf", "b.pdf"]
+    assert [r.path.rsplit("/", 1)[1] for r in parsers.collected(spark, paths, reverse=True).collect()] == ["b.pdf", "a.pdf"]
+
+
 def test_backfills(spark):
     from lectern.plans import backfills
 
