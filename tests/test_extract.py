@@ -73,6 +73,21 @@ def test_votes_and_turns(spark):
     assert [tuple(r) for r in rows] == [(4, 3, 0), (0, 0, 0), (0, 1, 0)]
 
 
+def test_answers_that_were_cut_off(spark):
+    import json
+
+    whole = {"a": 1, "b": [1, {"c": 'x, y: " z'}, 2.5], "d": {"e": None, "f": True}, "g": "end"}
+    text = json.dumps(whole)
+    for k in range(1, len(text) + 1):
+        got = json.loads(closed) if (closed := extract.closed(text[:k])) else None
+        assert got is not None and set(got) <= set(whole), text[:k]
+        assert all(got[x] == whole[x] for x in list(got)[:-1]), text[:k]
+    assert extract.closed(text) == text and extract.closed("") == ""
+    df = spark.createDataFrame([('Iată: ```json\n{"a": 1, "b": [1, 2,',), ('{"a": 3, "b": [], "z": 9,}',), ("nimic",), (None,)], "t string")
+    got = [r.x and (r.x.a, r.x.b) for r in df.select(extract.salvaged(F.col("t"), "a int, b array<int>").alias("x")).collect()]
+    assert got[:2] == [(1, [1, 2]), (3, [])] and got[2] in (None, (None, None))
+
+
 def test_quotes_and_answers(spark):
     text = "El a spus: „Nu  vom\nceda” — și a plecat…"
     for quote in ("Nu vom ceda", 'spus: "nu vom', "ceda” - și", "plecat..."):
