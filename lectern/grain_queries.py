@@ -42,17 +42,19 @@ def _type(path: str) -> T.DataType:
     return kind
 
 
-def sidecars(spark, sf) -> DataFrame:
-    """Documents of orders, with their lines as agenda items."""
+def sidecars(spark, sf, speech_texts: bool = True, votes: bool = True) -> DataFrame:
+    """Documents of orders, with their lines as agenda items; without texts, or without votes, where a query reads none."""
     at = F.col("l_linenumber") * 100
     who = {"person_id": F.concat(F.lit("s"), "l_suppkey"), "raw": F.concat(F.lit("Domnul "), "l_suppkey"), "name": F.concat(F.lit("Supplier "), "l_suppkey"), "party_group": F.when(F.col("l_suppkey") % 5 != 0, F.col("l_linestatus"))}
     document = F.concat(F.lit("mo://"), "l_orderkey")
     span = {"chars": [at, at + 90]}
     speech = {"id": F.concat(document, F.lit("#agenda-"), "l_linenumber", F.lit("#act-1")), "type": "speech", "text": F.expr("repeat('ab ', cast(l_quantity as int) * 2)"), "speaker": who, "source_span": span, "references_mentioned": [{"type": "law", "raw": F.concat(F.lit("Legea "), "l_suppkey"), "number": F.col("l_suppkey").cast("string"), "year": 2001, "char_offsets": [0, 9]}, {"type": "unknown", "raw": "art. 5", "char_offsets": [F.col("l_linenumber") * 5, F.col("l_linenumber") * 5 + 6]}]}
+    if not speech_texts:
+        speech = {k: v for k, v in speech.items() if k not in ("text", "references_mentioned")}
     vote = {"id": F.concat(document, F.lit("#agenda-"), "l_linenumber", F.lit("#vote-1")), "type": "vote", "outcome": F.when(F.col("l_returnflag") == "R", "deferred").otherwise("approved"), "counts": {"for": F.when(F.col("l_tax") == 0, "unanimous").otherwise(F.col("l_quantity").cast("int").cast("string")), "against": F.col("l_linenumber"), "abstain": 0}, "source_span": {"chars": [at + 90, at + 99]}, "slug": F.concat(F.lit("vot-"), "l_partkey")}
     item = {
         "id": F.concat(document, F.lit("#agenda-"), "l_linenumber"), "ordinal": F.col("l_linenumber"), "title": F.concat(F.lit("Proiect de lege "), "l_partkey"), "category": F.col("l_returnflag"), "outcome": F.col("l_linestatus"), "slug": F.concat(F.lit("punct-"), "l_partkey"),
-        "topics": {"primary": [F.col("l_returnflag")]}, "source_span": {"chars": [at, at + 99]}, "activities": [speech, vote],
+        "topics": {"primary": [F.col("l_returnflag")]}, "source_span": {"chars": [at, at + 99]}, "activities": [speech, vote] if votes else [speech],
         "primary_references": [{"type": "bill", "raw": F.concat(F.lit("L "), "l_partkey"), "prefix": F.when(F.col("l_returnflag") == "A", "L"), "number": F.col("l_partkey").cast("string"), "year": F.when(F.col("l_linenumber") < 7, 2000 + F.col("l_linenumber")), "char_offsets": [0, 5]}],
     }
     items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", shaped(_type("body.agenda_items"), item).alias("item"))
@@ -114,14 +116,14 @@ def p2_documents(spark, sf):
 @query(f"""WITH {ITEMS} SELECT item_id AS record_id, document_id, l_linenumber AS ordinal, l_linenumber * 100 AS position_in_document, 'Proiect de lege ' || l_partkey AS title, l_returnflag AS category, l_returnflag AS topics,
   CASE WHEN l_linenumber < 7 THEN coalesce(CASE WHEN l_returnflag = 'A' THEN 'L' END, 'PL-x') || ':' || l_partkey || '/' || (2000 + l_linenumber) ELSE '' END AS bills, 's' || l_suppkey AS people, 1 AS total_votes, CASE WHEN l_returnflag = 'R' THEN 'deferred' ELSE 'approved' END AS outcomes, '/agenda/punct-' || l_partkey AS url_path, chamber, day AS session_date FROM items""")
 def p3_agenda_items(spark, sf):
-    rows = grains.agenda_items(sidecars(spark, sf))
+    rows = grains.agenda_items(sidecars(spark, sf, speech_texts=False))
     joined = lambda c, name: F.array_join(c, ",").alias(name)
     return rows.select("record_id", "document_id", "ordinal", "position_in_document", "title", "category", joined("topics_primary", "topics"), joined("refs.bills", "bills"), joined("speaker_person_ids", "people"), F.col("vote_summary.total_votes").alias("total_votes"), joined("vote_summary.outcomes", "outcomes"), "url_path", "chamber", "session_date")
 
 
 @query(f"""WITH {ITEMS} SELECT item_id || '#act-1' AS record_id, l_linenumber AS agenda_ordinal, l_returnflag AS agenda_category, 's' || l_suppkey AS person_id, 'Supplier ' || l_suppkey AS name_search, party, text_length, text_length >= 100 AS is_substantive, 1 AS position_in_agenda, l_linenumber * 100 AS position_in_document, l_suppkey || '/2001' AS laws, chamber, day AS session_date FROM items""")
 def p4_speeches(spark, sf):
-    rows = grains.speeches(sidecars(spark, sf))
+    rows = grains.speeches(sidecars(spark, sf, votes=False))
     return rows.select("record_id", "agenda_ordinal", "agenda_category", "speaker.person_id", "speaker.name_search", F.col("speaker.party_group_at_time").alias("party"), "text_length", "is_substantive", "position_in_agenda", "position_in_document", F.array_join("refs.laws", ",").alias("laws"), "chamber", "session_date")
 
 
