@@ -128,3 +128,39 @@ def test_op6(spark, documents):
             assert offset == at
             at += length
         assert at <= 4096
+
+
+def test_op4_against_rules_by_hand(spark, documents):
+    from pyspark.sql import functions as F
+
+    from lectern.llm import quality_rules
+    from lectern.llm.common import fold
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rules = quality_rules.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"), fold("doc_id", 5) != 0)
+    assert rules.rules
+    names = list(quality_rules.statistics(F.col("text")))
+    told = {r.doc_id: r for r in docs.select("doc_id", *(c.alias(k) for k, c in quality_rules.statistics(F.col("text")).items())).collect()}
+    got = {r.doc_id: r for r in queries.op4_quality(spark, SF).collect()}
+    for d in documents:
+        text = d["text"] or ""
+        words, lines = re.findall(r"[^ \t\n\x0b\f\r]+", text), [x for x in text.split("\n") if x]
+        share = lambda chars: sum(c in chars for c in text) / max(1, len(text))  # noqa: B023, E731
+        plain = {
+            "chars": len(text), "words": len(words), "mean_word": (len(text) - len(words)) / max(1, len(words)), "distinct_words": len(set(words)) / max(1, len(words)), "distinct_lines": len(set(lines)) / max(1, len(lines)), "line_chars": len(text) / len(lines) if lines else 0.0,
+            "upper": share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "digits": share("0123456789"), "symbols": share("#$%&*@!?|<>{}[]\\/=+_~^"), "stops": share(".,;:"),
+        }
+        row = told[d["doc_id"]]
+        assert np.allclose([row[k] for k in names], [plain[k] for k in names])
+        z = rules.intercept + sum(w for terms, w in rules.rules if all(row[c] <= v if op == "<=" else row[c] > v for c, op, v in terms))
+        assert np.isclose(got[d["doc_id"]].score, 1 / (1 + np.exp(-z)))
+
+
+def test_classifiers_tell_held_out_rows(spark):
+    """On a larger table, labels of rows that were never learned from."""
+    sf = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r for r in pq.read_table(f"{sf}/labels.parquet").to_pylist()}
+    for name, label, least in (("op4_quality", "quality", 0.9), ("op10_toxicity", "toxic", 0.85)):
+        rows = [r for r in queries.QUERIES[name](spark, sf).collect() if r.held_out and r.doc_id in labels and labels[r.doc_id][label] is not None]
+        assert len(rows) > 50
+        assert np.mean([r.predicted == labels[r.doc_id][label] for r in rows]) > least
