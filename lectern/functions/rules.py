@@ -14,7 +14,7 @@ CHAMBER = r"(?iu)\b(SENATULUI|SENATUL|CAMEREI\s+DEPUTA[ȚTÞ]ILOR|CAMERA\s+DEPUT
 SESSION = r"(?m)(SESIUNEA[^\n]+?)(?:\s*\(Legislatura|\s*$)"
 SESSION_DATE = r"(?iu)Ședința\s+din\s+ziua\s+de\s+(\d{1,2})\s+(\p{L}+)\s+(\d{4})"
 LEGISLATURE = r"(?iu)Legislatura\s+a\s+([IVXM]+)-a"
-#: (class, score, pattern that must occur, pattern that must not), classes in the order that breaks ties.
+# Fixed values: (class, score, pattern that must occur, pattern that must not), classes in the order that breaks ties.
 CLASSES = ("plenary_stenogram", "plenary_joint_session", "committee_synthesis", "report_facsimile", "question_register")
 MARKS = (
     ("question_register", 0.95, r"LISTA\s+[ÎI]NTREB[ĂA]RILOR\s+ADRESATE", r"\(\s*STENOGRAMA\s*\)"),
@@ -24,6 +24,7 @@ MARKS = (
     ("plenary_stenogram", 0.85, r"\(\s*STENOGRAMA\s*\)", None),
     ("plenary_stenogram", 0.65, r"DEZBATERI\s+PARLAMENTARE", None),
 )
+# Classes that hold another one, so that the pair is not ambiguous.
 IMPLIED = (("plenary_joint_session", "plenary_stenogram"), ("report_facsimile", "plenary_joint_session"), ("report_facsimile", "plenary_stenogram"))
 # What the markdown cleaner replaces, in order: image notes, running headers, page numbers, hyphens at line ends, blanks at line ends, blank lines.
 CLEANING = (
@@ -173,6 +174,7 @@ CATEGORIES = (
     ("procedural", r"Aprobarea\s+ordinii\s+de\s+zi|programul(?:ui)?\s+de\s+lucru|Discu[țt]ii\s+procedurale|modificarea\s+ordinii"),
     ("bill_debate", r"(?:Dezbaterea\s+)?(?:Proiectul(?:ui)?\s+(?:de\s+lege|de\s+hot[ăa]r[âa]re)|Propunerii\s+legislative)"),
 )
+# Categories of less weight; kinds of confidence votes, in order.
 LIGHT = {"bill_debate": 0.5}
 CONFIDENCE_TYPES = (
     ("învestitură", r"învestir|investitur"),

@@ -29,6 +29,7 @@ SIDECAR = (
     "report:struct<id:string,issuing_body:string,issuing_body_normalized:string,title:string,slug:string,content_fingerprint:string,reporting_period:struct<`from`:string,`to`:string>,received_at:struct<session_date:string,session_kind:string,received_in_document:string>>,"
     "headings:array<struct<level:int,text:string>>>, _corrupt_record string"
 )
+# The least length of a substantive speech, and paths by grain.
 SUBSTANTIVE = 100
 URLS = {"speeches": "/discurs/", "agenda_items": "/agenda/", "interpellations": "/interpelare/", "committee_meetings": "/comisie/", "reports": "/raport/"}
 

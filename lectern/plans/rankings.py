@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Who is ranked, and how sure a coding must be.
 LEAST_SPEECHES, LEAST_WORDS, LEAST_CONFIDENCE = 10, 5000, 0.7
 
 
@@ -183,6 +184,7 @@ def _speakers(codings: DataFrame, framework: str, kinds: tuple[str, ...], measur
     return with_kinds(ranked(rows, markers(framework, list(kinds), complete) if measure is None else measure), rows, framework, kinds)
 
 
+# Kinds of markers.
 FEAR = ("existential_threat", "civilisational_decline", "invasion", "demographic_replacement", "economic_collapse", "cultural_extinction", "enemy_within")
 FALLACIES = ("false_dichotomy", "strawman", "ad_hominem", "equivocation", "hasty_generalisation", "whataboutism", "appeal_to_emotion", "slippery_slope", "loaded_question", "red_herring", "circular_reasoning")
 CONSPIRACY = ("parallel_state", "soros_conspiracy", "globalist_cabal", "deep_state", "cultural_marxism", "they_dont_want_you_to_know", "false_flag_accusation", "hidden_hand", "replacement_theory", "medical_conspiracy")

@@ -15,6 +15,7 @@ from lectern.functions.session import shared_folder, spread
 from lectern.functions.text import analyzed
 from lectern.operators.windows import page_bounds
 
+# The parameters of BM25 and of rank fusion.
 K1, B = 1.2, 0.75
 RRF = 60
 
