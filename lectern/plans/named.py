@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lectern.operators import aggregates, sets, windows
 from lectern.plans import search
 
+# Boosts of searched fields, and the grains below a document.
 FIELDS = {"text": 3.0, "agenda_title": 2.0, "speaker_name": 2.0}
 PERSON_FIELDS = {"canonical_name": 2.0, "diacritic_form": 1.5, "alias_text": 1.0}
 CHILDREN = ("agenda_items", "speeches", "votes", "interpellations", "questions", "committee_meetings")
