@@ -535,3 +535,51 @@ def p17_enrichments(spark, sf):
     flat = parsers.flat_enrichment(F.col("p"), F.col("j"), ["topics", "embedding", "embedding_text_fingerprint"])
     out = rows.select("event_id", flat.alias("m"))
     return out.select("event_id", F.array_join(F.array_sort(F.map_keys("m")), ",").alias("names"), F.coalesce(F.col("m")["topics"], F.col("m")["embedding_text_fingerprint"]).alias("first"))
+
+
+# ---- extraction, continued
+
+@query("SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'raport_comun' WHEN 1 THEN 'aviz' ELSE 'studiu' END AS output_type, CASE WHEN p_size % 2 = 0 THEN 'rejected' ELSE 'approved' END AS outcome, CAST(p_partkey AS VARCHAR) AS bill, 'Legea numărul ' || p_partkey AS title, '10:00-12:30' AS hours, 'Comisia pentru ape' AS joint_with FROM part")
+def v21_tables(spark, sf):
+    """An agenda as a table, hours, and whom the committee sat with."""
+    k = F.col("p_size")
+    row = cat("|1.|PL-x ", F.col("p_partkey"), "/2020|Legea numărul ", F.col("p_partkey"), "|", F.when(k % 3 == 0, "Raport comun").when(k % 3 == 1, "Aviz").otherwise("Studiu"), "|În urma votului s-a ", F.when(k % 2 == 0, "respins").otherwise("aprobat"), "|\n")
+    t = cat("## **Comisia juridică**\nÎntre orele 10,00 - 12,30, în ședință comună cu Comisia pentru ape.\n|Nr. crt.|PL-x|Titlu|Rol|Rezoluție|\n|---|---|---|---|---|\n", row)
+    rows = made(table(spark, sf, "part"), "p_partkey", t=t).select("p_partkey", committees.committees(F.col("t"))[0].alias("c"))
+    item, hours = F.col("c.agenda")[0], F.col("c.time_windows")[0]
+    return rows.select("p_partkey", item["output_type"].alias("output_type"), item["vote_summary"]["outcome"].alias("outcome"), item["references"][0]["number"].alias("bill"), item["title"].alias("title"), F.concat_ws("-", hours["start"], hours["end"]).alias("hours"), F.col("c.joint_with")[0]["name"].alias("joint_with"))
+
+
+@query("SELECT p_partkey, 'Pop Ion:' || CASE WHEN p_size % 2 = 0 THEN 'physical' ELSE 'absent' END || ',Rus Ana:substituted,Ene Dan:physical' AS roster, 'Voicu Dan' AS substitute, 'secretar' AS role FROM part")
+def v22_rosters(spark, sf):
+    """A roster in a table, then a day's list; names that both have count once."""
+    t = cat("## **Comisia juridică**\n|Numele și prenumele|Prezență|\n|---|---|\n|Pop Ion|", F.when(F.col("p_size") % 2 == 0, "Prezent fizic").otherwise("Absent motivat"), "|\n|Rus Ana|Înlocuită de Voicu Dan|\n\n1. Rus Ana, Grupul parlamentar al PSD\n2. Ene Dan – secretar, Grupul parlamentar al PNL\n")
+    rows = made(table(spark, sf, "part"), "p_partkey", t=t).select("p_partkey", committees.committees(F.col("t"))[0]["roster"].alias("r"))
+    return rows.select("p_partkey", F.array_join(F.transform("r", lambda x: F.concat_ws(":", x["name"], x["mode"])), ",").alias("roster"), F.col("r")[1]["substituted_by"].alias("substitute"), F.col("r")[2]["role"].alias("role"))
+
+
+@query("SELECT event_id, CAST(event_id % 4 AS INTEGER) AS level, CASE WHEN event_id % 2 = 0 THEN 'mixed' END AS content, CAST(event_id % 2 AS INTEGER) AS markers FROM events")
+def p20_dqi(spark, sf):
+    k = F.col("event_id")
+    payload = cat('{"dqi":{"level_of_justification":', k % 4, F.when(k % 2 == 0, ',"content_of_justification":"mixed"').otherwise(""), ',"markers":[', F.when(k % 2 == 1, '{"kind":"a","value":"7"}').otherwise("{}"), "]}}")
+    rows = discourse.flattened(made(events(spark, sf), "event_id", payload=payload))
+    d = F.col("discourse.dqi")
+    return rows.select("event_id", d["level_of_justification"].alias("level"), d["content_of_justification"].alias("content"), F.greatest(F.coalesce(F.size(d["markers"]), F.lit(0)), F.lit(0)).alias("markers"))
+
+
+@query("SELECT o_orderkey, ['muncii', 'procedura_penala', 'insolventei'][1 + o_orderkey % 3] AS code, CASE o_custkey % 3 WHEN 0 THEN 'joint' WHEN 1 THEN 'camera' ELSE 'senat' END AS chamber FROM orders")
+def x9_codes_and_chambers(spark, sf):
+    from lectern.functions import citations
+
+    k, c = F.col("o_orderkey") % 3, F.col("o_custkey") % 3
+    code = F.when(k == 0, "Codul muncii").when(k == 1, "Codul de procedură penală").otherwise("Codului insolvenței")
+    rule = F.when(c == 0, "Regulamentul activităților comune ale Parlamentului").when(c == 1, "Regulamentul Camerei Deputaților").otherwise("Regulamentul Senatului")
+    rows = made(table(spark, sf, "orders"), "o_orderkey", t=cat(code, "; ", rule)).select("o_orderkey", citations.citations(F.col("t")).alias("r"))
+    return rows.select("o_orderkey", F.col("r")[0]["kind"].alias("code"), F.col("r")[1]["chamber"].alias("chamber"))
+
+
+@query("SELECT o_orderkey, 'Ion Rus' AS addressee, 'ministrul mediului' AS role, 0.95 AS confidence FROM orders")
+def x24_addressees(spark, sf):
+    t = cat("## **Domnului Ion Rus, ministrul mediului**\n1. **Pop ", F.col("o_custkey"), ", deputat PSD**\nObiectul întrebării: Apa\nText. Nr. 5A/3.2.2019\n")
+    rows = made(table(spark, sf, "orders"), "o_orderkey", t=t).select("o_orderkey", extract.questions(F.col("t"))[0].alias("q"))
+    return rows.select("o_orderkey", "q.addressee", F.col("q.addressee_role").alias("role"), F.col("q.confidence").cast("decimal(3,2)").alias("confidence"))
