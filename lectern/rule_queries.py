@@ -508,10 +508,10 @@ def st4_waiting(spark, sf):
 
 # ---- sources, continued
 
-@query("SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS number, '/Monitorul-Oficial--PII--' || p_partkey || '--2019.html' AS href FROM part")
+@query("SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS number, '/gazette--PII--' || p_partkey || '--2019.html' AS href FROM part")
 def s2_issues(spark, sf):
     """Of two links to one issue the first; links to other parts don't count."""
-    link = lambda part, n: cat('<a href="/Monitorul-Oficial--P', part, "--", n, '--2019.html">x</a>')
+    link = lambda part, n: cat('<a href="/gazette--P', part, "--", n, '--2019.html">x</a>')
     n = F.col("p_partkey")
     rows = made(table(spark, sf, "part"), "p_partkey", html=cat(link("I", n), link("II", n), " text ", link("II", n)))
     return parsers.issues(rows, key="p_partkey").select("p_partkey", "number", "href")

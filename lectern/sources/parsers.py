@@ -65,8 +65,8 @@ def enrichments(files: DataFrame, content_sha: DataFrame | None = None) -> DataF
     return rows.drop("sha")
 
 
-# A link to an issue's file.
-ISSUE = r'href="(/Monitorul-Oficial--P([IVXM]+)--([0-9A-Za-z]+)--(\d{4})\.html)"'
+# How a link to an issue's page ends: part, number and year.
+ISSUE = r'href="(/[^"]*--P([IVXM]+)--([0-9A-Za-z]+)--(\d{4})\.html)"'
 
 
 def issues(pages: DataFrame, html: str = "html", part: str = "II", pattern: str = ISSUE, key: str = "page_id") -> DataFrame:
