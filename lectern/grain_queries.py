@@ -42,23 +42,31 @@ def _type(path: str) -> T.DataType:
     return kind
 
 
-def sidecars(spark, sf, speech_texts: bool = True, votes: bool = True) -> DataFrame:
-    """Documents of orders, with their lines as agenda items; without texts, or without votes, where a query reads none."""
-    at = F.col("l_linenumber") * 100
-    who = {"person_id": F.concat(F.lit("s"), "l_suppkey"), "raw": F.concat(F.lit("Domnul "), "l_suppkey"), "name": F.concat(F.lit("Supplier "), "l_suppkey"), "party_group": F.when(F.col("l_suppkey") % 5 != 0, F.col("l_linestatus"))}
-    document = F.concat(F.lit("mo://"), "l_orderkey")
+#: The columns of a line that its agenda item is made of.
+LINE = ("l_linenumber", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_returnflag", "l_linestatus")
+
+
+def _item(x: Column, speech_texts: bool, votes: bool) -> dict:
+    """The agenda item of a line."""
+    at = x["l_linenumber"] * 100
+    who = {"person_id": F.concat(F.lit("s"), x["l_suppkey"]), "raw": F.concat(F.lit("Domnul "), x["l_suppkey"]), "name": F.concat(F.lit("Supplier "), x["l_suppkey"]), "party_group": F.when(x["l_suppkey"] % 5 != 0, x["l_linestatus"])}
+    document = F.concat(F.lit("mo://"), x["l_orderkey"])
     span = {"chars": [at, at + 90]}
-    speech = {"id": F.concat(document, F.lit("#agenda-"), "l_linenumber", F.lit("#act-1")), "type": "speech", "text": F.expr("repeat('ab ', cast(l_quantity as int) * 2)"), "speaker": who, "source_span": span, "references_mentioned": [{"type": "law", "raw": F.concat(F.lit("Legea "), "l_suppkey"), "number": F.col("l_suppkey").cast("string"), "year": 2001, "char_offsets": [0, 9]}, {"type": "unknown", "raw": "art. 5", "char_offsets": [F.col("l_linenumber") * 5, F.col("l_linenumber") * 5 + 6]}]}
+    speech = {"id": F.concat(document, F.lit("#agenda-"), x["l_linenumber"], F.lit("#act-1")), "type": "speech", "text": F.repeat(F.lit("ab "), x["l_quantity"].cast("int") * 2), "speaker": who, "source_span": span, "references_mentioned": [{"type": "law", "raw": F.concat(F.lit("Legea "), x["l_suppkey"]), "number": x["l_suppkey"].cast("string"), "year": 2001, "char_offsets": [0, 9]}, {"type": "unknown", "raw": "art. 5", "char_offsets": [x["l_linenumber"] * 5, x["l_linenumber"] * 5 + 6]}]}
     if not speech_texts:
         speech = {k: v for k, v in speech.items() if k not in ("text", "references_mentioned")}
-    vote = {"id": F.concat(document, F.lit("#agenda-"), "l_linenumber", F.lit("#vote-1")), "type": "vote", "outcome": F.when(F.col("l_returnflag") == "R", "deferred").otherwise("approved"), "counts": {"for": F.when(F.col("l_tax") == 0, "unanimous").otherwise(F.col("l_quantity").cast("int").cast("string")), "against": F.col("l_linenumber"), "abstain": 0}, "source_span": {"chars": [at + 90, at + 99]}, "slug": F.concat(F.lit("vot-"), "l_partkey")}
-    item = {
-        "id": F.concat(document, F.lit("#agenda-"), "l_linenumber"), "ordinal": F.col("l_linenumber"), "title": F.concat(F.lit("Proiect de lege "), "l_partkey"), "category": F.col("l_returnflag"), "outcome": F.col("l_linestatus"), "slug": F.concat(F.lit("punct-"), "l_partkey"),
-        "topics": {"primary": [F.col("l_returnflag")]}, "source_span": {"chars": [at, at + 99]}, "activities": [speech, vote] if votes else [speech],
-        "primary_references": [{"type": "bill", "raw": F.concat(F.lit("L "), "l_partkey"), "prefix": F.when(F.col("l_returnflag") == "A", "L"), "number": F.col("l_partkey").cast("string"), "year": F.when(F.col("l_linenumber") < 7, 2000 + F.col("l_linenumber")), "char_offsets": [0, 5]}],
+    vote = {"id": F.concat(document, F.lit("#agenda-"), x["l_linenumber"], F.lit("#vote-1")), "type": "vote", "outcome": F.when(x["l_returnflag"] == "R", "deferred").otherwise("approved"), "counts": {"for": F.when(x["l_tax"] == 0, "unanimous").otherwise(x["l_quantity"].cast("int").cast("string")), "against": x["l_linenumber"], "abstain": 0}, "source_span": {"chars": [at + 90, at + 99]}, "slug": F.concat(F.lit("vot-"), x["l_partkey"])}
+    return {
+        "id": F.concat(document, F.lit("#agenda-"), x["l_linenumber"]), "ordinal": x["l_linenumber"], "title": F.concat(F.lit("Proiect de lege "), x["l_partkey"]), "category": x["l_returnflag"], "outcome": x["l_linestatus"], "slug": F.concat(F.lit("punct-"), x["l_partkey"]),
+        "topics": {"primary": [x["l_returnflag"]]}, "source_span": {"chars": [at, at + 99]}, "activities": [speech, vote] if votes else [speech],
+        "primary_references": [{"type": "bill", "raw": F.concat(F.lit("L "), x["l_partkey"]), "prefix": F.when(x["l_returnflag"] == "A", "L"), "number": x["l_partkey"].cast("string"), "year": F.when(x["l_linenumber"] < 7, 2000 + x["l_linenumber"]), "char_offsets": [0, 5]}],
     }
-    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", shaped(_type("body.agenda_items"), item).alias("item"))
-    nested = items.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "item"))), lambda x: x["item"]).alias("items"))
+
+
+def sidecars(spark, sf, speech_texts: bool = True, votes: bool = True) -> DataFrame:
+    """Documents of orders, with their lines as agenda items; without texts, or without votes, where a query reads none. Lines are gathered as they are, and items made in place."""
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*LINE))).alias("_lines"))
+    nested = lines.select("l_orderkey", F.transform("_lines", lambda x: shaped(_type("body.agenda_items"), _item(x, speech_texts, votes))).alias("items"))
     orders = table(spark, sf, "orders").join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     body = shaped(_type("body"), {"session": {"chambers_present": ["Camera", "Senat"]}}).withField("agenda_items", F.col("items"))
