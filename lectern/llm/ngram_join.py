@@ -7,7 +7,7 @@ A document's lists are the inverted lists of its shingles. Documents within the
 
 Components need no more links than that, and none between different texts is lost. No cap is set on partners, candidates or list lengths; blocks are of a bounded number of shingles (or one document). A cluster of many blocks whose members are near each other without linking costs a search between each two blocks.
 
-What is broadcast are bitmaps of a fixed size at most. They tell shared and hot shingles apart; where more are shared than a bitmap holds, those in the most documents are kept in it and lists of single members stay, which costs time, not results.
+What is broadcast are bitmaps of a fixed size at most. They tell shared and hot shingles apart. A document without near copies sends nothing while a fifth of its shingles are known as its own, so a bitmap may be half full before that costs anything. Where more are shared than a bitmap holds, those in the most documents are kept in it and lists of single members stay: results are the same, but the prefixes of nearly all documents are then sent and their sets compared.
 
 Defined results: null or empty texts and texts without words have no shingles and link with nothing; fewer words than the width make one shingle. Rows with the same id belong together, so their component is one; repeated rows give repeated results. Rows with a null id come back with a null component and link with nothing. An empty table gives no rows. Further columns are ignored.
 """
@@ -28,7 +28,11 @@ from lectern.llm.occurrence import spanning_links
 WIDTH, PERCENT = 5, 80
 HOT = 32
 KEY_BITS = 22
-MOST_BITS = 27  # of a bitmap: 16 MB
+MOST_BITS = 27  # of a bitmap with bits to spare: 16 MB
+LARGEST_BITS = 30  # of a bitmap of many keys: 128 MB
+LOAD = 0.7  # keys a bit, at most: half of the other keys seem to be in it
+PIECE_BITS = 20  # of a bitmap that a task makes as one
+PIECE_KEYS = 500_000  # that a task puts in a bitmap on average, at least
 FLUSH_TOKENS = 2_000_000
 BLOCK_SHINGLES = 500_000  # of a block that a task searches
 CELL_LOAD = 4_000_000  # shingles that a task of searches is given on average, at most
@@ -38,15 +42,29 @@ CELL_LOAD = 4_000_000  # shingles that a task of searches is given on average, a
 
 
 def bitmap(keys: DataFrame, column: str, per_key: int = 32) -> np.ndarray:
-    """A bitmap of hashed long keys, of at most 2**MOST_BITS bits; words are made by a bit_or aggregation."""
+    """A bitmap of hashed long keys: so many bits a key up to 2**MOST_BITS bits, and beyond that as many as keep it at LOAD keys a bit, up to 2**LARGEST_BITS. Tasks make whole pieces of it."""
     n = keys.count()
     bits = min(MOST_BITS, max(12, int(np.ceil(np.log2(max(1, n) * per_key)))))
+    bits = max(bits, min(LARGEST_BITS, int(np.ceil(np.log2(max(1, n) / LOAD)))))
+    piece = min(bits, PIECE_BITS)
+
+    def run(batches):
+        held = {}
+        for batch in batches:
+            h = batch.column("h").to_numpy(zero_copy_only=False)
+            for k in np.unique(h >> piece).tolist():
+                held.setdefault(k, np.zeros(1 << piece, bool))[h[h >> piece == k] & ((1 << piece) - 1)] = True
+        if held:
+            packed = [np.packbits(x, bitorder="little").tobytes() for x in held.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(packed, pa.binary())], names=["piece", "bits"])
+
     h = F.shiftrightunsigned(F.xxhash64(column), 64 - bits)
-    words = keys.select(h.alias("h")).select(F.shiftright("h", 6).alias("w"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("b"))
-    out = np.zeros(1 << (bits - 6), np.int64)
-    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    out[found["w"].to_numpy()] = found["b"].to_numpy()
-    return out
+    rows = keys.select(h.alias("h")).withColumn("piece", F.shiftright("h", piece))
+    out = np.zeros((1 << (bits - piece), 1 << (piece - 6)), np.int64)
+    found = rows.repartition(max(1, min(len(out), n // PIECE_KEYS)), "piece").select("h").mapInArrow(run, "piece long, bits binary").toArrow()
+    for k, packed in zip(found["piece"].to_pylist(), found["bits"], strict=True):
+        out[k] = np.frombuffer(packed.as_buffer(), np.int64)
+    return out.reshape(-1)
 
 
 def may_hold(column: Column, bits: np.ndarray) -> Column:
@@ -128,7 +146,7 @@ def long_lists(docs: DataFrame, total: int, hot: int, width: int) -> tuple[np.nd
     sent = docs.select("text").mapInArrow(count, "part long, gaps binary, n long, more binary, times binary")
     parts = max(1, min(1 << range_bits, total // 2000))
     found = stored(sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(total_of, "key long, df long"), "shared")
-    n, most = found.count(), 1 << (MOST_BITS - 3)
+    n, most = found.count(), int(LOAD * (1 << LARGEST_BITS))
     shared = found if n <= most else found.filter(F.col("df") > found.approxQuantile("df", [1 - most / n], 0.001)[0])
     n_hot, most_hot = found.filter(F.col("df") > hot).count(), 1 << (MOST_BITS - 6)
     least = hot if n_hot <= most_hot else max(hot, found.filter(F.col("df") > hot).approxQuantile("df", [1 - most_hot / n_hot], 0.001)[0])

@@ -239,6 +239,41 @@ def test_jaccard_classes_against_brute_force(spark, hot):
     assert got == brute_components(rows)
 
 
+def test_jaccard_beyond_the_largest_bitmap(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LARGEST_BITS", 10)
+    test_jaccard_beyond_the_bitmaps(spark, monkeypatch)
+
+
+def test_jaccard_bitmap_grows_with_the_shared_shingles(spark, monkeypatch):
+    """Beyond the spare bits of a bitmap shared shingles are still told apart, so texts without near copies send next to nothing."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(rng.choice(words, 200)) for _ in range(60)]
+    copies = [t + " one more" for t in texts[:20]]  # about 4,000 shingles in two documents
+    df = spark.createDataFrame(list(enumerate(texts + copies)), "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "MOST_BITS", 12)
+    lists = ngram_join.long_lists(df, df.count(), ngram_join.HOT, 5)
+    assert lists[3]  # all of them are in it
+    rows = {r.doc_id: r for r in ngram_join.prepared(df, lists, 5, 80).collect()}
+    assert all(len(rows[k].head) == 0 and rows[k].skip > 0 for k in range(20, 60))
+    assert all(len(rows[k].head) > 0 for k in range(20))
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_classes(df).collect()}
+    assert got == {k: k for k in range(60)} | {60 + k: k for k in range(20)}
+
+
+def test_bitmap_holds_every_key_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PIECE_BITS", 8)
+    keys = spark.range(3000).withColumnRenamed("id", "key")
+    for most, bits in ((12, 13), (17, 17)):  # beyond the spare bits, and with them
+        monkeypatch.setattr(ngram_join, "MOST_BITS", most)
+        found = ngram_join.bitmap(keys, "key")
+        assert found.dtype == np.int64 and len(found) << 6 == 1 << bits
+        h = ngram_join.spark_hash(np.arange(3000)) >> np.uint64(64 - bits)
+        want = np.zeros(1 << bits, np.uint8)
+        want[h.astype(np.int64)] = 1
+        assert np.array_equal(np.unpackbits(found.view(np.uint8), bitorder="little"), want)
+
+
 def test_jaccard_beyond_the_bitmaps(spark, monkeypatch):
     """More shared shingles than a bitmap tells apart: lists of single members stay, links are the same."""
     rng = np.random.default_rng(21)
