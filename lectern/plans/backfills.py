@@ -97,9 +97,12 @@ def persons(probe: DataFrame, registry: DataFrame, raw: str = "raw", year: str =
     same = asked.join(names, key(F.col("_name")) == key(F.col("name")))
     how = F.when(F.col("_name") == F.col("name"), "1exact").when(F.lower("_name") == F.lower("name"), "2case").otherwise("3diacritic")
     sets_ = asked.join(names, bag_of(F.col("_name")) == bag_of(F.col("name")))
-    near = fuzzy_names(asked.select("_name").distinct(), names, "_name", "name", "id", person_tokens).distinct()
-    fuzzy = asked.join(near, "_name").join(registry.select("id", "mandates").dropDuplicates(["id"]), "id")
-    every = tier(1, same, how).unionByName(tier(2, sets_, F.lit("4token_set"))).unionByName(tier(3, fuzzy, F.lit("5fuzzy")))
+    first = tier(1, same, how).unionByName(tier(2, sets_, F.lit("4token_set")))
+    done = first.select(F.col("_raw").alias("_r"), F.col("_year").alias("_y"))
+    left = asked.join(done, (F.col("_raw") == F.col("_r")) & F.col("_year").eqNullSafe(F.col("_y")), "left_anti")  # the last tier is for those without a match
+    near = fuzzy_names(left.select("_name").distinct(), names, "_name", "name", "id", person_tokens)
+    fuzzy = left.join(near, "_name").join(registry.select("id", "mandates").dropDuplicates(["id"]), "id")
+    every = first.unionByName(tier(3, fuzzy, F.lit("5fuzzy")))
     best = every.groupBy("_raw", "_year").agg(F.min_by(F.struct("match", F.substring("via", 2, 20).alias("via")), "_rank").alias("_b"))
     on = probe[raw].eqNullSafe(best["_raw"]) & probe[year].cast("int").eqNullSafe(best["_year"])
     return probe.join(best, on, "left").select(*probe.columns, F.col("_b.match").alias("match"), F.col("_b.via").alias("via"))

@@ -255,3 +255,34 @@ def test_meetings_do_not_carry_their_committee(spark):
     full = docs.select(*(grain_queries.shaped(f.dataType, {"document_id": F.col("document_id")}.get(f.name)).alias(f.name) if f.name != "body" else grain_queries.shaped(f.dataType, {"committees": [{"id": F.get("c", F.lit(0))["id"], "meetings": [{"id": F.get(F.get("c", F.lit(0))["meetings"], F.lit(i))["id"]} for i in range(2)]}]}).alias("body") for f in grain_queries.schema().fields))
     assert [(r.record_id, r.document_id, r.committee_id) for r in grains.committee_meetings(full).collect()] == [("m1", "d3", "c1")]
     assert queries.QUERIES["p8_committee_meetings"](spark, sf).count() == spark.read.parquet(f"{sf}/part.parquet").count()
+
+
+def test_fuzzy_names_meet_by_the_token_that_differs(spark):
+    """Names that share all tokens but one form no pairs; every edit in any token is found, as by comparing all pairs."""
+    from itertools import product
+
+    names = ["om ab popescu", "om abc popescu", "om abd popescu", "om ac popescu", "om b popescu", "oms ab popescu", "om ab popesc", "om popescu", "om acb popescu", "ab om popescu", "om zz popescu", "a", "om xyz ion"]
+    probe = spark.createDataFrame([(n,) for n in names], "raw string")
+    index = spark.createDataFrame([(n, f"p{i}") for i, n in enumerate(names)], "name string, id string")
+    own = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda x: x != ""))
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    want = set()
+    for (i, a), (_, b) in product(enumerate(names), enumerate(names)):
+        p, q = sorted(set(b.split())), sorted(set(a.split()))
+        if len(p) == len(q) >= 2 and sum(map(edits, p, q)) == 1:
+            want.add((b, f"p{i}"))
+    assert want and {tuple(r) for r in joins.fuzzy_names(probe, index, "raw", "name", "id", own).collect()} == want
+    # 40,000 names that share two tokens: pairs by a shared token would be 1.6e9
+    many = spark.range(40_000).select(F.concat(F.lit("Om "), F.translate(F.lpad(F.col("id").cast("string"), 5, "0"), "0123456789", "abcdefghij"), F.lit(" Popescu")).alias("name"), F.col("id").cast("string").alias("id"))
+    found = joins.fuzzy_names(many.select(F.col("name").alias("raw")), many, "raw", "name", "id", own)
+    # each of five letters has nine others, three in the first place
+    assert found.count() == 40_000 * (4 * 9 + 3)
