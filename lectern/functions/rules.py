@@ -83,7 +83,7 @@ def clean_markdown(md: Column) -> Column:
 
 def classified(text: Column, suffix: Column) -> Column:
     """top_type, top_score, second_type, second_score and ambiguous of a document, from marks in the first 10,000 bytes of its text and its issue's suffix."""
-    text = F.decode(F.substring(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 1, HEAD_BYTES), "UTF-8")
+    text = F.make_valid_utf8(F.substring(F.coalesce(text, F.lit("")).cast("binary"), 1, HEAD_BYTES).cast("string"))  # the cut may lie within a character
     scores = {k: F.lit(0.0) for k in CLASSES}
     low = F.lower(F.coalesce(suffix, F.lit("")))
     for kind, letter in (("committee_synthesis", "c"), ("report_facsimile", "r")):

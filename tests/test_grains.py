@@ -286,3 +286,9 @@ def test_fuzzy_names_meet_by_the_token_that_differs(spark):
     found = joins.fuzzy_names(many.select(F.col("name").alias("raw")), many, "raw", "name", "id", own)
     # each of five letters has nine others, three in the first place
     assert found.count() == 40_000 * (4 * 9 + 3)
+
+
+def test_class_of_a_text_cut_within_a_character(spark):
+    texts = {1: "DEZBATERI PARLAMENTARE" + "a" * (9_999 - 22) + "ă" * 50, 2: "x" * 9_999 + "€", 3: "x" * 9_998 + "😀", 4: "x" * 9_978 + "DEZBATERI PARLAMENTAREă", 5: None}
+    rows = spark.createDataFrame(list(texts.items()), "k int, t string").select("k", rules.classified(F.col("t"), F.lit(""))["top_type"].alias("top"))
+    assert {r.k: r.top for r in rows.collect()} == {1: "plenary_stenogram", 2: "other", 3: "other", 4: "plenary_stenogram", 5: "other"}
