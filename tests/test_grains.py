@@ -292,3 +292,14 @@ def test_class_of_a_text_cut_within_a_character(spark):
     texts = {1: "DEZBATERI PARLAMENTARE" + "a" * (9_999 - 22) + "ă" * 50, 2: "x" * 9_999 + "€", 3: "x" * 9_998 + "😀", 4: "x" * 9_978 + "DEZBATERI PARLAMENTAREă", 5: None}
     rows = spark.createDataFrame(list(texts.items()), "k int, t string").select("k", rules.classified(F.col("t"), F.lit(""))["top_type"].alias("top"))
     assert {r.k: r.top for r in rows.collect()} == {1: "plenary_stenogram", 2: "other", 3: "other", 4: "plenary_stenogram", 5: "other"}
+
+
+def test_benchmark_places_do_not_hang_on_the_order_of_rows(spark, tmp_path):
+    from lectern import queries
+
+    values = [0.1, 0.2, 0.3]
+    rows = [(0, v) for v in values] + [(1, v) for v in reversed(values)]
+    spark.createDataFrame(rows, "user_id long, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    assert (0.1 + 0.2) + 0.3 > (0.3 + 0.2) + 0.1  # as doubles
+    got = {r.model: r.place for r in queries.QUERIES["a9_benchmark"](spark, str(tmp_path)).collect()}
+    assert got == {0: 1, 1: 2}
