@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm import mixing, ngram_join, packing, secrets, toxicity
-from lectern.llm.common import read_table, scratch
+from lectern.llm.common import freed, read_table, scratch, stored
 
 TEMPER = 0.9
 
@@ -24,12 +24,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of linked documents that with the smallest id; of rows with that id the first by text. Rows without an id stay."""
-    classes = ngram_join.jaccard_classes(docs)
-    first = classes.filter("component_id = doc_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
+    classes = ngram_join.jaccard_classes(docs).filter("doc_id is not null")
+    with freed(spark):
+        fates = stored(classes.groupBy("doc_id").agg((F.count("*") > 1).alias("several"), F.max(F.col("component_id") == F.col("doc_id")).alias("stays")), "fates")
+        # texts are not shuffled where bitmaps tell: most ids are in neither of them, and who goes is in the first only
+        special = ngram_join.bitmap(fates.filter("several or not stays"), "doc_id")
+        asked = ngram_join.bitmap(fates.filter(F.col("stays") & (F.col("several") | ngram_join.may_hold(F.col("doc_id"), special))), "doc_id")
+    doc_id = F.col("doc_id").cast("long")
+    there = docs.filter(F.col("doc_id").isNotNull())
+    plain = there.filter(~ngram_join.may_hold(doc_id, special))
+    unsure = there.filter(ngram_join.may_hold(doc_id, special) & ngram_join.may_hold(doc_id, asked))
+    kept = unsure.join(fates.filter("stays").select("doc_id"), "doc_id", "left_semi")
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first(), "source", "lang"))
     one = kept.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
-    return one.select(docs.columns).union(docs.filter(F.col("doc_id").isNull()))
+    return plain.select(docs.columns).union(one.select(docs.columns)).union(docs.filter(F.col("doc_id").isNull()))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

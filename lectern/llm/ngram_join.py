@@ -34,6 +34,7 @@ LOAD = 0.7  # keys a bit, at most: half of the other keys seem to be in it
 PIECE_BITS = 20  # of a bitmap that a task makes as one
 PIECE_KEYS = 500_000  # that a task puts in a bitmap on average, at least
 FLUSH_TOKENS = 2_000_000
+WIDE = 65535  # the mark of a long gap
 BLOCK_SHINGLES = 500_000  # of a block that a task searches
 CELL_LOAD = 4_000_000  # shingles that a task of searches is given on average, at most
 
@@ -92,7 +93,7 @@ def _broadcast(value):
 def long_lists(docs: DataFrame, total: int, hot: int, width: int) -> tuple[np.ndarray, np.ndarray, int, bool]:
     """Bitmaps of the shingles in two documents or more and in more than `hot`, the bits of a shingle's hash that make its key, and whether the first bitmap has all.
 
-    Tasks count the shingles they read and send, for each range of keys, the sorted keys' gaps (two bytes each where they fit) and the counts above one; a range is summed in one pass over its runs. The number of ranges follows the number of documents.
+    Tasks count the shingles they read and send, for each range of keys, the sorted keys' gaps (`packed_gaps`) and the counts above one; a range is summed in one pass over its runs. The number of ranges follows the number of documents.
     """
     range_bits = max(2, int(np.ceil(np.log2(max(1, total) / 500))))
     bits = range_bits + KEY_BITS
@@ -118,9 +119,8 @@ def long_lists(docs: DataFrame, total: int, hot: int, width: int) -> tuple[np.nd
         for k, end in enumerate(ends.tolist()):
             if end > at:
                 own = (keys[at:end] & np.uint64((1 << KEY_BITS) - 1)).astype(np.uint32)
-                gaps = np.diff(own, prepend=np.uint32(0))
                 more = np.flatnonzero(counts[at:end] > 1)
-                out.append((k, gaps.astype(np.uint16).tobytes() if gaps.max() < 65536 else gaps.astype(np.uint32).tobytes(), int(end - at), more.astype(np.uint32).tobytes(), counts[at:end][more].astype(np.uint32).tobytes()))
+                out.append((k, packed_gaps(own), int(end - at), more.astype(np.uint32).tobytes(), counts[at:end][more].astype(np.uint32).tobytes()))
             at = end
         names = ("part", "gaps", "n", "more", "times")
         types = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
@@ -138,7 +138,7 @@ def long_lists(docs: DataFrame, total: int, hot: int, width: int) -> tuple[np.nd
                 if k != part:
                     yield from finish()
                     part, counts = k, np.zeros(1 << KEY_BITS, np.int32)
-                own = np.cumsum(np.frombuffer(gaps, np.uint16 if len(gaps) == 2 * n else np.uint32), dtype=np.int64)
+                own = unpacked_gaps(gaps, n)
                 counts[own] += 1
                 counts[own[np.frombuffer(more, np.uint32)]] += np.frombuffer(times, np.uint32).astype(np.int32) - 1
         yield from finish()
@@ -150,7 +150,28 @@ def long_lists(docs: DataFrame, total: int, hot: int, width: int) -> tuple[np.nd
     shared = found if n <= most else found.filter(F.col("df") > found.approxQuantile("df", [1 - most / n], 0.001)[0])
     n_hot, most_hot = found.filter(F.col("df") > hot).count(), 1 << (MOST_BITS - 6)
     least = hot if n_hot <= most_hot else max(hot, found.filter(F.col("df") > hot).approxQuantile("df", [1 - most_hot / n_hot], 0.001)[0])
-    return bitmap(shared, "key", 8), bitmap(found.filter(F.col("df") > least), "key"), bits, n <= most
+    out = bitmap(shared, "key", 8), bitmap(found.filter(F.col("df") > least), "key"), bits, n <= most
+    discard(found)
+    return out
+
+
+def packed_gaps(keys: np.ndarray) -> bytes:
+    """Ascending keys of 32 bits as their gaps: two bytes each, after a mark for every WIDE that a gap is long, or four where these are fewer bytes."""
+    gaps = np.diff(keys, prepend=np.uint32(0))
+    marks = (gaps // WIDE).astype(np.int64)
+    if marks.sum() >= len(gaps):
+        return gaps.astype(np.uint32).tobytes()
+    out = np.full(len(gaps) + int(marks.sum()), WIDE, np.uint16)
+    out[np.arange(len(gaps)) + np.cumsum(marks)] = gaps % WIDE
+    return out.tobytes()
+
+
+def unpacked_gaps(packed: bytes, n: int) -> np.ndarray:
+    """The n keys."""
+    if len(packed) == 4 * n:
+        return np.cumsum(np.frombuffer(packed, np.uint32), dtype=np.int64)
+    steps = np.frombuffer(packed, np.uint16)
+    return np.cumsum(steps, dtype=np.int64)[steps != WIDE]
 
 
 def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -342,6 +363,14 @@ def searched(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, hot: int = HOT, rounds: int = 2, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id that links reach) of each row."""
     common.small_batches(docs.sparkSession)
+    with common.freed(docs.sparkSession):
+        rows, member, found = _linked(docs, width, percent, hot, rounds, block_shingles)
+    place = member.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", "digest", F.coalesce("component", "rep").alias("component")).groupBy("doc_id", "digest").agg(F.min("component").alias("component"))
+    return rows.select("doc_id", "n", "digest").join(place, ["doc_id", "digest"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def _linked(docs: DataFrame, width: int, percent: int, hot: int, rounds: int, block_shingles: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their sets' digests, the representative of each id and digest, and the components of representatives."""
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = source.count()
     rows = stored(prepared(source, long_lists(source, total, hot, width), width, percent), "sets")
@@ -388,8 +417,7 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     found = components(links)
     for used in (members, sets, wanted):
         discard(used)
-    place = member.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", "digest", F.coalesce("component", "rep").alias("component")).groupBy("doc_id", "digest").agg(F.min("component").alias("component"))
-    return rows.select("doc_id", "n", "digest").join(place, ["doc_id", "digest"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    return rows, member, found
 
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:

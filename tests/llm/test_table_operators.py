@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 import glob
 import hashlib
+import os
+import time
 import zlib
 
 import numpy as np
@@ -12,7 +14,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm import components, mixing, ngram_join, occurrence, packing, topk_nra, toxicity, warc_writer
+import corpus_pipeline
+from lectern.llm import common, components, mixing, ngram_join, occurrence, packing, topk_nra, toxicity, warc_writer
 from tests.llm.test_text_operators import ODD, shingles
 
 
@@ -437,3 +440,64 @@ def test_pipeline_stages(spark):
     assert sum(r.doc_id == 1 for r in stages["ngram_join"](spark, odd, sf).collect()) == 1
     total = sum(zlib.crc32(bytes(r.ids)) >= 0 for r in stages["packing"](spark, odd, sf).collect())
     assert total == 5
+
+
+def shuffle_bytes(spark) -> int:
+    """Bytes of the shuffle files in the session's folders, once their number stays the same for a second."""
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    seen: list[int] = []
+    while len(seen) < 3 or len(set(seen[-3:])) > 1:
+        files = [f for d in manager.localDirs() for f in glob.glob(f"{d.getPath()}/*/shuffle_*")]
+        seen.append(sum(os.path.getsize(f) for f in files if os.path.exists(f)))
+        time.sleep(0.5)
+    return seen[-1]
+
+
+def test_near_copies_go_without_shuffled_texts_or_files_left(spark, tmp_path):
+    """What the search for near copies shuffles goes as soon as it is used, and the result does not shuffle texts."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(9000)]
+    texts = [" ".join(rng.choice(words, 1500)) for _ in range(150)]
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(texts + [t + " one more" for t in texts[:50]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"file://{tmp_path}/docs")
+    docs = spark.read.parquet(f"file://{tmp_path}/docs")
+    before = shuffle_bytes(spark)
+    out = corpus_pipeline.drop_near_copies(spark, docs, "")
+    out.write.parquet(f"file://{tmp_path}/out")
+    assert shuffle_bytes(spark) - before < 100_000 < 0.1 * sum(len(r[1]) for r in rows)
+    assert sorted(r.doc_id for r in spark.read.parquet(f"file://{tmp_path}/out").collect()) == list(range(150))
+    assert spark.conf.get(common.SHUFFLE_CLEANUP, None) is None
+
+
+def test_near_copies_where_the_bitmaps_take_ids_for_others(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(words, 20)) for _ in range(3000)]
+    rows = [(int(k), texts[int(i)], "en", "s", 0) for k, i in enumerate(rng.integers(0, 3000, 6000))]
+    rows += [(k, texts[k % 3000] + " other", "en", s, 1) for k in range(0, 6000, 50) for s in "ba"] + [(10_000, None, None, None, None), (10_000, "", "en", "s", 0), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string, n_chars long").repartition(4)
+    monkeypatch.setattr(ngram_join, "MOST_BITS", 12)
+    monkeypatch.setattr(ngram_join, "LARGEST_BITS", 12)
+    monkeypatch.setattr(ngram_join, "LOAD", 1e9)
+    first = ngram_join.jaccard_classes(docs).filter("component_id = doc_id").select("doc_id").distinct()
+    stay = {r.doc_id for r in first.collect()}
+    best: dict = {}
+    for r in rows:
+        if r[0] in stay and (r[0] not in best or (r[1] or "", r[1] is not None, r[3] or "") < (best[r[0]][1] or "", best[r[0]][1] is not None, best[r[0]][3] or "")):
+            best[r[0]] = r
+    got = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [*best.values(), rows[-1]]))
+
+
+def test_gaps_are_packed_in_two_bytes_where_few_are_long():
+    rng = np.random.default_rng(10)
+    for n, least, most in ((1, 2, 4), (3900, 2, 2), (244, 2, 2.2), (30, 2, 4)):  # keys of a range, bytes a key; 244: as for 3 million documents
+        for _ in range(20):
+            keys = np.unique(rng.integers(0, 1 << ngram_join.KEY_BITS, n)).astype(np.uint32)
+            packed = ngram_join.packed_gaps(keys)
+            assert least * len(keys) <= len(packed) <= most * len(keys)
+            assert np.array_equal(ngram_join.unpacked_gaps(packed, len(keys)), keys)
+    for keys in ([0], [65534], [65535], [65536], [65535, 131070, 131071], [0, 1, 2, 3, 4_000_000], [0, 4_000_000], [65534, 131069, 131070]):
+        keys = np.array(keys, np.uint32)
+        assert np.array_equal(ngram_join.unpacked_gaps(ngram_join.packed_gaps(keys), len(keys)), keys)
